@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strataloom.llm import packing, token_counts
+from strataloom.llm import packing, simhash, token_counts
 
 
 def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -20,5 +24,5 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {"op8_packing": op8_packing, "op10_token_counts": op10_token_counts}
+QUERIES = {"op3_simhash": op3_simhash, "op8_packing": op8_packing, "op10_token_counts": op10_token_counts}
 ORACLE: dict[str, str] = {}
