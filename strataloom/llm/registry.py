@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strataloom.llm import packing, simhash, token_counts
+from strataloom.llm import line_dedup, packing, simhash, token_counts
 
 
 def table(spark, sf_dir: str, name: str):
@@ -20,9 +20,13 @@ def op8_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_line_dedup(spark, sf_dir):
+    return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {"op3_simhash": op3_simhash, "op8_packing": op8_packing, "op10_token_counts": op10_token_counts}
+QUERIES = {"op3_simhash": op3_simhash, "op8_packing": op8_packing, "op9_line_dedup": op9_line_dedup, "op10_token_counts": op10_token_counts}
 ORACLE: dict[str, str] = {}
