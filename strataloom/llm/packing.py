@@ -2,8 +2,8 @@
 
 Documents are tokenized in one map; only piece descriptions (no ids) are written on. Runs of ``window`` ids are
 sequences by themselves; what is left of each document is cut to at most ``max_piece`` ids and packed in blocks of
-bounded size: every piece starts as a partial partition, the two partitions with the largest imbalance are merged
-largest part on smallest part until one is left, and the number of windows rises whenever a part exceeds the window.
+bounded size: partial partitions of one piece a window are merged, always the two with the largest imbalance, largest part
+on smallest part, until one is left; the number of windows rises whenever a part exceeds the window.
 """
 
 from __future__ import annotations
@@ -23,51 +23,37 @@ from strataloom.llm.pieces import ids_cache, word_pieces
 from strataloom.session import materialize
 
 
-def differencing(sizes: list[int], k: int) -> tuple[list[int], list[list[int]]]:
-    """Karmarkar-Karp: ``sizes`` in k parts; returns the parts' sums and their items' indices."""
-    kids: list[tuple[int, int] | None] = [None] * len(sizes)
-    heap = [(-s, i, np.array([s]), np.array([i])) for i, s in enumerate(sizes)]  # sums in descending order
+def differencing(sizes: list[int], k: int) -> list[list[int]]:
+    """Karmarkar-Karp in its balanced form: ``sizes`` in k parts, as lists of indices.
+
+    In descending order every k items begin a partial partition. Always the two partitions with the largest imbalance
+    (largest part less smallest) are merged, largest part on smallest.
+    """
+    order = np.argsort(-np.asarray(sizes, np.int64), kind="stable")
+    rows = -(-len(order) // k)
+    items = np.append(order, np.full(rows * k - len(order), -1)).reshape(rows, k)
+    sums = np.where(items < 0, 0, np.asarray(sizes, np.int64)[items])
+    heap = [(int(s[-1] - s[0]), i, s, row[:, None]) for i, (s, row) in enumerate(zip(sums, items, strict=True))]
     heapq.heapify(heap)
-    tie = len(sizes)
+    tie = len(heap)
     while len(heap) > 1:
-        _, _, a, an = heapq.heappop(heap)
-        _, _, b, bn = heap[0]
-        both = len(a) + len(b) - k  # parts of a that meet a part of b: the least of each, opposed
-        if both > 0:
-            cut, up, upn = len(a) - both, b[::-1], bn[::-1]
-            joined = np.arange(len(kids), len(kids) + both)
-            kids.extend(zip(an[cut:].tolist(), upn[:both].tolist(), strict=True))
-            sums, nodes = np.concatenate([a[:cut], a[cut:] + up[:both], up[both:]]), np.concatenate([an[:cut], joined, upn[both:]])
-        else:
-            sums, nodes = np.concatenate([a, b]), np.concatenate([an, bn])
-        order = np.argsort(-sums, kind="stable")
-        sums, nodes = sums[order], nodes[order]
-        low = int(sums[-1]) if len(sums) == k else 0
-        heapq.heapreplace(heap, (low - int(sums[0]), tie, sums, nodes))
+        _, _, a, of_a = heapq.heappop(heap)
+        _, _, b, of_b = heap[0]
+        both = a + b[::-1]
+        down = np.argsort(-both, kind="stable")
+        both = both[down]
+        heapq.heapreplace(heap, (int(both[-1] - both[0]), tie, both, np.concatenate([of_a, of_b[::-1]], axis=1)[down]))
         tie += 1
-    if not heap:
-        return [0] * k, [[] for _ in range(k)]
-    _, _, sums, nodes = heap[0]
-    parts = []
-    for n in nodes.tolist():
-        items, stack = [], [n]
-        while stack:
-            x = stack.pop()
-            if kids[x] is None:
-                items.append(x)
-            else:
-                stack.extend(kids[x])
-        parts.append(sorted(items))
-    return sums.tolist(), parts
+    return [[x for x in part if x >= 0] for part in heap[0][3].tolist()] if heap else []
 
 
 def pack_sizes(sizes: list[int], window: int) -> list[list[int]]:
     """Items (each at most ``window``) by window, in as few windows as differencing fits."""
     k = max(1, -(-sum(sizes) // window))
     while sizes:
-        sums, parts = differencing(sizes, k)
-        if max(sums) <= window:
-            return [p for p in parts if p]
+        parts = [p for p in differencing(sizes, k) if p]
+        if max(sum(sizes[i] for i in p) for p in parts) <= window:
+            return parts
         k += max(1, k // 500)
     return []
 

@@ -55,6 +55,14 @@ class _Cache(dict):
         return value
 
 
+#: Pieces that are one pre-token of letters, for which the merges alone decide.
+_ONE_BYTE_WORD = re.compile(f" ?[{LATIN}]+")
+_ONE_WORD = re.compile("[a-zß-öø-ÿ]+")
+#: The usual printable stand-ins of bytes: printable Latin-1 characters for themselves, the others from U+0100 on in order.
+_KEPT = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LETTERS = {b: b if b in _KEPT else 256 + sum(x not in _KEPT for x in range(b)) for b in range(256)}
+
+
 def load(path: str):
     """The library's encoder for a file: a function from text to a list of ids."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -68,7 +76,15 @@ def load(path: str):
     tok = Tokenizer.from_file(path)
     tok.no_truncation()
     tok.no_padding()
-    return lambda s: tok.encode(s, add_special_tokens=False).ids
+    single = (_ONE_BYTE_WORD if tok.normalizer is None else _ONE_WORD).fullmatch
+    merge = tok.model.tokenize
+
+    def encode(s: str) -> list[int]:
+        if single(s):
+            return [t.id for t in merge(s.encode().decode("latin-1").translate(BYTE_LETTERS))]
+        return tok.encode(s, add_special_tokens=False).ids
+
+    return encode
 
 
 _WORKER: dict = {}
