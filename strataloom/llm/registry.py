@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strataloom.llm import line_dedup, packing, simhash, token_counts
+from strataloom.llm import exact_dedup, line_dedup, packing, simhash, token_counts
 
 
 def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_exact_dedup(spark, sf_dir):
+    return exact_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -28,5 +32,5 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {"op3_simhash": op3_simhash, "op8_packing": op8_packing, "op9_line_dedup": op9_line_dedup, "op10_token_counts": op10_token_counts}
+QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op3_simhash": op3_simhash, "op8_packing": op8_packing, "op9_line_dedup": op9_line_dedup, "op10_token_counts": op10_token_counts}
 ORACLE: dict[str, str] = {}
