@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import DataFrame
 
@@ -49,6 +50,15 @@ def deal(shard: np.ndarray, cols: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "blob"])
 
 
+def slices(batches, column: str, most: int = 1 << 23):
+    """The rows of Arrow batches in slices of about ``most`` bytes in ``column``, one row at least."""
+    for b in batches:
+        size = pa.compute.fill_null(pa.compute.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero(np.diff(np.cumsum(size) // most)) + 1
+        for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(b)], strict=True):
+            yield b.slice(s, e - s)
+
+
 def gather(blobs: DataFrame, shards: int, fn: Callable[[list[bytes]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """Apply ``fn`` to all blobs of each shard. Shards are sized by the caller so that one fits a task."""
 

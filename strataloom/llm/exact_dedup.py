@@ -23,13 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataloom.llm.blocks import BLOB, deal, gather, mix, pack_columns, runs, shard_of, unpack_columns
+from strataloom.llm.blocks import BLOB, deal, gather, mix, pack_columns, runs, shard_of, slices, unpack_columns
 from strataloom.llm.repeats import SPANS, free_shuffles, keyed, order_runs, span_rows, union, volume, with_spans
 from strataloom.llm.suffix_array import permuted_lcp, suffix_array
 from strataloom.session import materialize
 
-_CHUNK = 1 << 20
-_PLACE_BITS = 22  # a buffer holds less than two chunks and an overlap
+_CHUNK = 1 << 18
+_GROUP = 1 << 22
+_PLACE_BITS = 20  # a buffer holds less than two chunks and an overlap
 _KINDS = ("u8", "u8", "i8", "u4", "u4", "i4")
 _RNG = np.random.default_rng(20240229)
 _LETTERS = _RNG.integers(0, 2**64, (2, 256), dtype=np.uint64)
@@ -135,31 +136,36 @@ def _place(ends, index, offset, start):
     return index[k], start - np.concatenate([[0], ends[:-1]])[k] + offset[k]
 
 
-def later_bytes(docs: DataFrame, id_col: str, text: str, length: int = 100, gram: int = 50, shard_bytes: int = 400_000_000, hot: int = 20_000) -> tuple[DataFrame, DataFrame]:
+def later_bytes(docs: DataFrame, id_col: str, text: str, length: int = 100, gram: int = 50, shard_bytes: int = 160_000_000, hot: int = 20_000) -> tuple[DataFrame, DataFrame]:
     """Spans of bytes to remove from each document, in two parts."""
     bytes_ = volume(docs, text)
     shards = max(1, -(-bytes_ * 16 // shard_bytes))
     base = keyed(docs, id_col, text)
 
     def emit(batches):
-        for b in batches:
+        for b in slices(batches, "text"):
             ids, crcs = b.column("doc_id").to_numpy(), b.column("crc").to_numpy().astype(np.uint32)
-            held = []
+            held, size = [], 0
             for buf, ends, index, offset in _buffers(b, length):
-                own, h, start, size = snippets(buf, ends, length, gram)
+                own, h, start, n = snippets(buf, ends, length, gram)
                 i, s = _place(ends, index, offset, start)
-                held.append((own, h, ids[i], crcs[i], s.astype(np.uint32), size.astype(np.int32)))
-            if not held:
-                continue
-            cols = [np.concatenate(c) for c in zip(*held, strict=True)]
-            held = []
-            order, head, late = order_runs(*cols[:5])
-            gone = order[late]
-            keep = np.sort(order[~late & (head == np.arange(len(head)))])
-            yield deal(shard_of(cols[0][keep], shards), [c[keep] for c in cols])
-            if len(gone):  # settled: marked by a negative size
-                zero = np.zeros(len(gone), np.uint64)
-                yield deal(shard_of(mix(cols[2][gone].view(np.uint64)), shards), [zero, zero, *(c[gone] for c in cols[2:5]), -cols[5][gone]])
+                held.append((own, h, ids[i], crcs[i], s.astype(np.uint32), n.astype(np.int32)))
+                size += len(buf)
+                if size >= _GROUP:
+                    yield from dealt(held)
+                    held, size = [], 0
+            if held:
+                yield from dealt(held)
+
+    def dealt(held):
+        cols = [np.concatenate(c) for c in zip(*held, strict=True)]
+        order, head, late = order_runs(*cols[:5])
+        gone = order[late]
+        keep = np.sort(order[~late & (head == np.arange(len(head)))])
+        yield deal(shard_of(cols[0][keep], shards), [c[keep] for c in cols])
+        if len(gone):  # settled: marked by a negative size
+            zero = np.zeros(len(gone), np.uint64)
+            yield deal(shard_of(mix(cols[2][gone].view(np.uint64)), shards), [zero, zero, *(c[gone] for c in cols[2:5]), -cols[5][gone]])
 
     def decide(blobs):
         cols = [np.concatenate(c) for c in zip(*(unpack_columns(x, *_KINDS) for x in blobs), strict=True)]
@@ -196,7 +202,7 @@ def later_bytes(docs: DataFrame, id_col: str, text: str, length: int = 100, gram
     compare_shards = max(1, -(-bytes_ // 24_000_000))
 
     def extract(batches):
-        for b in batches:
+        for b in slices(batches, "text"):
             own, place, parts = [], [], []
             ids, crcs = b.column("doc_id").to_pylist(), b.column("crc").to_pylist()
             for i, (t, asks) in enumerate(zip(b.column("text").to_pylist(), b.column("ask").to_pylist(), strict=True)):
@@ -274,7 +280,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     columns, names = base.columns, schema.names
 
     def apply(batches):
-        for b in batches:
+        for b in slices(batches, text):
             out = []
             for t, spans in zip(b.column(text).cast(pa.binary()).to_pylist(), b.column("__spans").to_pylist(), strict=True):
                 t = t or b""

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataloom.llm.blocks import BLOB, deal, gather, mix, shard_of, unpack_columns
+from strataloom.llm.blocks import BLOB, deal, gather, mix, shard_of, slices, unpack_columns
 from strataloom.llm.repeats import SPANS, free_shuffles, keyed, order_runs, span_rows, union, volume, with_spans
 from strataloom.session import materialize
 
@@ -72,7 +72,7 @@ def later_lines(docs: DataFrame, id_col: str, text: str, min_words: int, shard_b
     shards = max(1, -(-volume(docs, text) // (10 * shard_bytes)))
 
     def emit(batches):
-        for b in batches:
+        for b in slices(batches, "text"):
             hashes, words, owner, first, at = [], [], [], [], 0
             docs_, crcs = b.column("doc_id").to_numpy(), b.column("crc").to_numpy()
             for i, t in enumerate(b.column("text").to_pylist()):
@@ -137,7 +137,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min
     columns, names = base.columns, schema.names
 
     def apply(batches):
-        for b in batches:
+        for b in slices(batches, text):
             texts, counts = [], []
             for t, spans in zip(b.column(text).cast(pa.binary()).to_pylist(), b.column("__spans").to_pylist(), strict=True):
                 kept, gone, n = without_lines(t, union(spans)) if t is not None and spans else (t, 0, 0)

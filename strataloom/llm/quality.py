@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataloom.llm.blocks import mix
+from strataloom.llm.blocks import mix, slices
 from strataloom.llm.exact_dedup import Rolling
 from strataloom.session import materialize
 
@@ -126,7 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 
     def count(batches):
         seen, ones, held, sample = np.zeros(BINS, bool), np.zeros((2, BINS), np.uint32), [0, 0], []
-        for b in batches:
+        for b in slices(batches, "text"):
             for t, y, take in zip(b.column("text").to_pylist(), b.column("y").to_pylist(), b.column("take").to_pylist(), strict=True):
                 x = features(t or b"", seen)
                 ones[y, x] += 1
@@ -191,7 +191,7 @@ def score(docs: DataFrame, model: dict, text: str = "text", out: str = "score")
     def run(batches):
         weight, slope, offset = shared.value
         seen, bias = np.zeros(BINS, bool), float(weight[-1])
-        for b in batches:
+        for b in slices(batches, text):
             margin = np.zeros(len(b))
             for i, t in enumerate(b.column(text).cast(pa.binary()).to_pylist()):
                 x = features(t or b"", seen)
