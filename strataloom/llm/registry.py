@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strataloom.llm import exact_dedup, line_dedup, packing, quality, simhash, token_counts
+from strataloom.llm import exact_dedup, line_dedup, mixing, packing, quality, simhash, token_counts
 
 
 def table(spark, sf_dir: str, name: str):
@@ -20,6 +20,10 @@ def op3_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark, sf_dir):
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -36,5 +40,5 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op3_simhash": op3_simhash, "op7_quality": op7_quality, "op8_packing": op8_packing, "op9_line_dedup": op9_line_dedup, "op10_token_counts": op10_token_counts}
-ORACLE: dict[str, str] = {}
+QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op3_simhash": op3_simhash, "op4_mixing": op4_mixing, "op7_quality": op7_quality, "op8_packing": op8_packing, "op9_line_dedup": op9_line_dedup, "op10_token_counts": op10_token_counts}
+ORACLE: dict[str, str] = {"op4_mixing": mixing.SQL}
