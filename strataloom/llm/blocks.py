@@ -45,7 +45,7 @@ def deal(shard: np.ndarray, cols: list[np.ndarray]) -> pa.RecordBatch:
     """Rows by shard, in their order within a shard."""
     order = np.argsort(shard, kind="stable")
     ids, starts = np.unique(shard[order], return_index=True)
-    ends = [*starts[1:].tolist(), len(shard)]
+    ends = [*starts[1:].tolist(), len(shard)][: len(starts)]
     blobs = [pack_columns(*(c[order[s:e]] for c in cols)) for s, e in zip(starts.tolist(), ends, strict=True)]
     return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "blob"])
 

@@ -97,4 +97,5 @@ def with_spans(docs: DataFrame, id_col: str, text: str, *spans: DataFrame) -> Da
     found = found.withColumnsRenamed({"doc_id": "__doc", "crc": "__crc"})
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     marked = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), "__c": F.crc32(body)})
-    return marked.join(found, (F.col("__id") == F.col("__doc")) & (F.col("__c") == F.col("__crc")), "left").drop("__doc", "__crc", "__id", "__c")
+    # the same join at every size: a broadcast would only serve inputs with few repeats
+    return marked.join(found.hint("merge"), (F.col("__id") == F.col("__doc")) & (F.col("__c") == F.col("__crc")), "left").drop("__doc", "__crc", "__id", "__c")
