@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strataloom.llm import exact_dedup, line_dedup, media, mixing, packing, quality, simhash, token_counts
+from strataloom.llm import exact_dedup, line_dedup, media, mixing, neighbours, packing, quality, simhash, token_counts
 
 
 def table(spark, sf_dir: str, name: str):
@@ -28,6 +28,10 @@ def op5_media(spark, sf_dir):
     return media.read_media(media.encode_media(table(spark, sf_dir, "documents")))
 
 
+def op6_neighbours(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op7_quality(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,5 +48,5 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op3_simhash": op3_simhash, "op4_mixing": op4_mixing, "op5_media": op5_media, "op7_quality": op7_quality, "op8_packing": op8_packing, "op9_line_dedup": op9_line_dedup, "op10_token_counts": op10_token_counts}
+QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op3_simhash": op3_simhash, "op4_mixing": op4_mixing, "op5_media": op5_media, "op6_neighbours": op6_neighbours, "op7_quality": op7_quality, "op8_packing": op8_packing, "op9_line_dedup": op9_line_dedup, "op10_token_counts": op10_token_counts}
 ORACLE: dict[str, str] = {"op4_mixing": mixing.SQL}
