@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strataloom.llm import exact_dedup, line_dedup, media, mixing, neighbours, packing, quality, simhash, token_counts
+from strataloom.llm import exact_dedup, line_dedup, media, mixing, neighbours, packing, quality, simhash, token_counts, warc
 
 
 def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark, sf_dir):
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.digest(table(spark, sf_dir, "documents"))
 
@@ -48,5 +52,5 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op3_simhash": op3_simhash, "op4_mixing": op4_mixing, "op5_media": op5_media, "op6_neighbours": op6_neighbours, "op7_quality": op7_quality, "op8_packing": op8_packing, "op9_line_dedup": op9_line_dedup, "op10_token_counts": op10_token_counts}
-ORACLE: dict[str, str] = {"op4_mixing": mixing.SQL}
+QUERIES = {"op1_warc": op1_warc, "op2_exact_dedup": op2_exact_dedup, "op3_simhash": op3_simhash, "op4_mixing": op4_mixing, "op5_media": op5_media, "op6_neighbours": op6_neighbours, "op7_quality": op7_quality, "op8_packing": op8_packing, "op9_line_dedup": op9_line_dedup, "op10_token_counts": op10_token_counts}
+ORACLE: dict[str, str] = {"op1_warc": warc.SQL, "op4_mixing": mixing.SQL}
