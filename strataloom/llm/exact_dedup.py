@@ -188,7 +188,7 @@ def later_bytes(docs: DataFrame, id_col: str, text: str, length: int = 100, gram
         hot_of[first] = is_hot
         doc, crc = cols[2][ask], cols[3][ask]
         cut = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (crc[1:] != crc[:-1])])) if len(ask) else []
-        ends = np.append(cut[1:], len(ask))
+        ends = np.append(cut[1:], len(ask))[: len(cut)]
         rows = [(int(doc[a]), int(crc[a]), pack_columns(cols[4][ask[a:e]], cols[5][ask[a:e]].astype(np.uint32), cols[0][ask[a:e]], hot_of[ask[a:e]])) for a, e in zip(cut, ends, strict=True)]
         if rows:
             d, c, blob = zip(*rows, strict=True)

@@ -98,3 +98,9 @@ def test_suffix_array_and_prefixes():
             assert lcp[b] == n
     s = np.append(rng.integers(1, 9000, 20000), 0)
     assert suffix_array(s).tolist() == sorted(range(len(s)), key=lambda i: tuple(s[i : i + 8]))
+
+
+def test_shards_without_questions(spark):
+    rows = [(i, "copy " * 50 if i < 3 else f"{i} alone") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: tuple(r)[1:] for r in exact_dedup.digest(df).collect()} == brute(rows, 100)
