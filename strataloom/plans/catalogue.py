@@ -1,38 +1,6 @@
-"""Named queries over the driver's tables, each with its oracle SQL."""
+"""Named queries over the driver's tables, each with its oracle SQL where SQL can express it."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Register a function under its name, with its oracle SQL if it has one."""
-
-    def put(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return put
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-@query("""
-select 'NEXT' as edge_type, count(*) as n_edges from conversations a join conversations b on a.conv_id = b.conv_id and b.turn = a.turn + 1
-union all select 'PART_OF', count(*) from conversations
-""")
-def structure_counts(spark, sf_dir):
-    chunks = table(spark, sf_dir, "conversations").select("conv_id", "turn")
-    ahead = chunks.select("conv_id", (F.col("turn") - 1).alias("turn"))
-    following = chunks.join(ahead, ["conv_id", "turn"]).agg(F.lit("NEXT").alias("edge_type"), F.count(F.lit(1)).alias("n_edges"))
-    return following.unionByName(chunks.agg(F.lit("PART_OF").alias("edge_type"), F.count(F.lit(1)).alias("n_edges")))
+from strataloom.plans import analysis_queries, build_queries, conflict_queries, ingest_queries  # noqa: F401  (they register themselves)
+from strataloom.plans.registry import ORACLE, QUERIES  # noqa: F401
