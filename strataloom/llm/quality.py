@@ -75,15 +75,16 @@ def _descend(rows: list[np.ndarray], ratio: np.ndarray, y: np.ndarray, cost: np.
     """Weights of the hinge-loss model over scaled indicators, with the bias last, by dual coordinate descent."""
     rng = np.random.default_rng(seed)
     w, alpha = np.zeros(len(ratio) + 1), np.zeros(len(rows))
-    scaled = [np.append(ratio[x] / np.sqrt(max(len(x), 1)), 1.0) for x in rows]
-    at = [np.append(x, len(ratio)) for x in rows]
-    norm = [float(v @ v) for v in scaled]
+    norm = [float(ratio[x] @ ratio[x]) / max(len(x), 1) + 1.0 for x in rows]
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
-            g = y[i] * float(w[at[i]] @ scaled[i]) - 1
+            x = rows[i]
+            v = ratio[x] / np.sqrt(max(len(x), 1))
+            g = y[i] * (float(w[x] @ v) + w[-1]) - 1
             new = min(max(alpha[i] - g / norm[i], 0.0), cost[i])
             if new != alpha[i]:
-                w[at[i]] += (new - alpha[i]) * y[i] * scaled[i]
+                w[x] += (new - alpha[i]) * y[i] * v
+                w[-1] += (new - alpha[i]) * y[i]
                 alpha[i] = new
     w[:-1] *= ratio  # from now on a plain indicator's weight
     return w
@@ -114,7 +115,7 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text: str, label:
     return docs.select(F.col(id_col).alias("id"), F.col(text).cast("binary").alias("text")).join(known, "id")
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality", fit_rows: int = 6_000, epochs: int = 12, cost: float = 1.0, smooth: float = 1.0) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality", fit_rows: int = 4_000, epochs: int = 12, cost: float = 1.0, smooth: float = 1.0) -> dict:
     """A model: weights of BINS indicators and the bias, and the slope and offset of the score.
 
     Log-count ratios are counted over all teaching rows; the hinge-loss model is fitted to ``fit_rows`` of them, taken
@@ -132,7 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
                 ones[y, x] += 1
                 held[y] += 1
                 if take:
-                    sample.append((y, x.astype("<u4").tobytes()))
+                    sample.append((y, x.astype("<i4").tobytes()))
         yield pa.RecordBatch.from_arrays([pa.array([0, 1], pa.int32()), pa.array([h for h in held], pa.int64()), pa.array([ones[0].tobytes(), ones[1].tobytes()], pa.binary())], ["y", "n", "blob"])
         for i in range(0, len(sample), 500):
             part = sample[i : i + 500]
@@ -154,7 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     counted = materialize(rows.withColumn("take", F.xxhash64("id", F.lit(7)) % 1_000_000 < int(share * 2_000_000) - 1_000_000).select("text", "y", "take").mapInArrow(count, kind), "quality-counts")
     parts = counted.where("y < 2").repartition(16).mapInArrow(add, kind).repartition(2, "y").mapInArrow(add, kind).collect()
     sample = counted.where("y >= 2").limit(2 * fit_rows).collect()
-    return model_of({r.y: (r.n, np.frombuffer(r.blob, np.uint64)) for r in parts}, [(r.y - 2, np.frombuffer(r.blob, "<u4").astype(np.int64)) for r in sample], epochs, cost, smooth)
+    return model_of({r.y: (r.n, np.frombuffer(r.blob, np.uint64)) for r in parts}, [(r.y - 2, np.frombuffer(r.blob, "<i4")) for r in sample], epochs, cost, smooth)
 
 
 def model_of(counts: dict, sample: list, epochs: int, cost: float, smooth: float) -> dict:

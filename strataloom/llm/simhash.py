@@ -118,7 +118,7 @@ def _candidates(distinct: DataFrame) -> DataFrame:
     return keyed.join(shared, "key", "left_semi").select("fp").distinct()
 
 
-def ball_links(distinct: DataFrame, variants_per_shard: int = 6_000_000) -> DataFrame:
+def ball_links(distinct: DataFrame, variants_per_shard: int = 3_000_000) -> DataFrame:
     """Links (src, dst) that connect all distinct fingerprints within three bits of each other."""
     some = materialize(_candidates(distinct), "simhash-candidates")
     count = some.count()
@@ -188,7 +188,7 @@ def _linked_in_run(a: np.ndarray, b: np.ndarray, limit: int) -> tuple[list[int],
 
 def near_copies(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, recall: float = 0.97,
-    spread: float = 2.0, per_shard: int = 6_000_000,
+    spread: float = 2.0, per_shard: int = 1_200_000,
 ) -> DataFrame:
     """(doc_id, component_id) per row, for copies whose word shingles have a Jaccard similarity of about ``similarity`` or more.
 
@@ -210,8 +210,8 @@ def near_copies(
     def emit(batches):
         for b in batches:
             hi, lo = (b.column(c).to_numpy().view(np.uint64) for c in ("fp", "fp2"))
-            for i in range(0, len(hi), 2000):
-                h, low = hi[i : i + 2000], lo[i : i + 2000]
+            for i in range(0, len(hi), 1000):
+                h, low = hi[i : i + 1000], lo[i : i + 1000]
                 sig = np.unpackbits(np.stack([h, low], axis=1).view(np.uint8), axis=1, bitorder="little")
                 zs, at = [], []
                 for t in range(tables):
