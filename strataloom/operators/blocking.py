@@ -46,7 +46,7 @@ def top_neighbours(vectors: DataFrame, k: int, block_rows: int = 4096) -> DataFr
     dealt = ok.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     asks = dealt.select(F.col("block").alias("i"), every.alias("j"), "id", "embedding")
-    gives = dealt.select(every.alias("i"), F.col("block").alias("j"), "id", "embedding")
+    gives = dealt.select(every.alias("i"), F.col("block").alias("j"), F.col("id").alias("other"), F.col("embedding").alias("theirs"))
 
     def unit(p: pd.DataFrame) -> np.ndarray:
         x = np.stack(p["embedding"].to_list()).astype(np.float64)
@@ -54,6 +54,7 @@ def top_neighbours(vectors: DataFrame, k: int, block_rows: int = 4096) -> DataFr
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
+        right = right.rename(columns={"other": "id", "theirs": "embedding"})
         if len(left) and len(right):
             right = right.sort_values("id", ignore_index=True)
             ids, y = right["id"].to_numpy(), unit(right).T
