@@ -35,6 +35,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def bound_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Bound the bytes (and not only the rows) of the batches that go to Python: long texts would make huge ones."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: the lineage is cut and survives lost executors."""
     spark = df.sparkSession
