@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataloom.llm.pieces import ids_cache, word_pieces
-from strataloom.session import materialize
+from strataloom.session import bound_batches, materialize
 
 
 def differencing(sizes: list[int], k: int) -> list[list[int]]:
@@ -80,6 +80,7 @@ def pack(
     null; other columns are ignored; an empty table gives no pieces. Sequences are filled without gaps from offset 0.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
+    bound_batches(docs.sparkSession)
     last = int(end_id).to_bytes(4, "little")
     fields = [rows.schema["doc_id"].__class__("doc_id", rows.schema["doc_id"].dataType)]
     fields += [T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens")]

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from strataloom.llm.blocks import mix, slices
 from strataloom.llm.exact_dedup import Rolling
-from strataloom.session import materialize
+from strataloom.session import bound_batches, materialize
 
 BINS = 1 << 18
 _SPACE, _LOWER, _UPPER, _DIGIT = 0, 1, 2, 3
@@ -121,6 +121,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     Log-count ratios are counted over all teaching rows; the hinge-loss model is fitted to ``fit_rows`` of them, taken
     evenly by a hash of the id. Without rows of both classes the model scores every text the share of label 1, or 0.5.
     """
+    bound_batches(docs.sparkSession)
     rows = labelled(docs, labels, id_col, text, label)
     n = rows.count()
     share = min(1.0, fit_rows / max(n, 1)) * 1.1
@@ -185,6 +186,7 @@ def model_of(counts: dict, sample: list, epochs: int, cost: float, smooth: float
 
 def score(docs: DataFrame, model: dict, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the column ``out``, from 0 to 1; higher is likelier of label 1. Null and empty texts get the bias's score."""
+    bound_batches(docs.sparkSession)
     base = docs.drop(out)
     shared = docs.sparkSession.sparkContext.broadcast((model["weight"], model["slope"], model["offset"]))  # BINS floats
     columns = base.columns

@@ -15,12 +15,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataloom.session import bound_batches
+
 NO_ID = -(2**63)  # stands for a null doc_id; sorts first
 SPANS = "doc_id long, crc long, spans binary"
 
 
 def keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """doc_id (long, no nulls), crc and the text's UTF-8 bytes (null: empty)."""
+    bound_batches(docs.sparkSession)
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.crc32(body).alias("crc"), body.alias("text"))
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from strataloom.llm.blocks import BLOB, deal, forest, gather, mix, runs, shard_of, unpack_columns
 from strataloom.operators.components import connected_components
-from strataloom.session import materialize
+from strataloom.session import bound_batches, materialize
 
 SEED = 42
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -51,6 +51,7 @@ def majority(hashes: np.ndarray) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str, text: str, words: int, wide: bool = False) -> DataFrame:
     """(doc_id, fp) per row, and with ``wide`` a second, independent 64 bits as fp2."""
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).cast("binary").alias("text"))
 
     def run(batches):

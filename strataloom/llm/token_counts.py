@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataloom.llm.pieces import byte_pieces, count_cache, load, pack_table
+from strataloom.session import bound_batches
 
 
 def frequent_table(docs: DataFrame, text: str, tokenizer: str, table_size: int, sample_rows: int) -> bytes:
@@ -37,6 +38,7 @@ def token_counts(
     are ignored; an empty table gives an empty result. Very long texts are cut into pieces, never truncated.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
+    bound_batches(docs.sparkSession)
     whole = tokenizer.endswith(".model")
     table = docs.sparkSession.sparkContext.broadcast(pack_table({}) if whole else frequent_table(docs, text, tokenizer, table_size, sample_rows))
     kind = rows.schema["doc_id"].dataType
