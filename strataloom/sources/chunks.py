@@ -36,7 +36,7 @@ def read_lines(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> Data
 
     Files are read whole, one to a row, so that line numbers are exact; chunk files are small by contract.
     """
-    whole = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).option("wholetext", True).text(path)
+    whole = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path, wholetext=True)
     rows = whole.select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("at", "line"))
     return rows.where(tx.strip(F.col("line")) != "").select("file", (F.col("at") + 1).alias("line_no"), "line")
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -29,6 +30,10 @@ class SnapshotTable:
         stream = self._fs.open(at)
         try:
             data = bytes(stream.readAllBytes()).decode("ascii", "replace").strip()
+        except Py4JJavaError as e:
+            if "ChecksumException" not in str(e):
+                raise
+            data = ""
         finally:
             stream.close()
         return int(data) if data.isdigit() else 0
