@@ -90,7 +90,7 @@ def load(path: str):
 _WORKER: dict = {}
 
 
-def ids_cache(path: str, most: int = 1_000_000) -> _Cache:
+def ids_cache(path: str, most: int = 700_000) -> _Cache:
     """piece -> its ids as little-endian unsigned 32-bit bytes; one cache per worker process."""
     if ("ids", path) not in _WORKER:
         encode = load(path)
@@ -98,7 +98,7 @@ def ids_cache(path: str, most: int = 1_000_000) -> _Cache:
     return _WORKER["ids", path]
 
 
-def count_cache(path: str, table: bytes, most: int = 1_000_000) -> _Cache:
+def count_cache(path: str, table: bytes, most: int = 700_000) -> _Cache:
     """piece -> number of its ids, with the broadcast table as first tier."""
     if ("n", path) not in _WORKER or _WORKER["n", path][0] != len(table):
         encode = load(path)

@@ -141,10 +141,24 @@ def ball_links(distinct: DataFrame, variants_per_shard: int = 3_000_000) -> Data
     return gather(spread.mapInArrow(emit, BLOB), shards, link, "src long, dst long")
 
 
+def contracted(links: DataFrame, most: int = 250_000) -> DataFrame:
+    """The links (materialized) as one forest per ``most`` of them. Shards each span a large group of copies with a tree of
+    their own; this keeps the edge list near the number of nodes, whatever the number of shards."""
+    parts = max(1, -(-links.count() // most))
+
+    def span(batches):
+        rows = [b for b in batches if len(b)]
+        a, b = (np.concatenate([r.column(c).to_numpy() for r in rows] or [np.zeros(0, np.int64)]) for c in ("src", "dst"))
+        x, y = forest(a, b) if len(a) else (a, b)
+        yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["src", "dst"])
+
+    return materialize(links.coalesce(parts).mapInArrow(span, "src long, dst long"), "simhash-forest")
+
+
 def _by_component(rows: DataFrame, links: DataFrame, key: str) -> DataFrame:
     """``rows`` (doc_id and key) with component_id, the smallest doc_id among the rows that links connect."""
     first = rows.groupBy(key).agg(F.min("doc_id").alias("first"))
-    part = materialize(connected_components(links), "simhash-components").withColumnRenamed("id", key)
+    part = materialize(connected_components(contracted(links)), "simhash-components").withColumnRenamed("id", key)
     lowest = first.join(part, key).groupBy("component").agg(F.min("first").alias("low"))
     found = first.join(part, key, "left").join(lowest, "component", "left").select(key, F.coalesce("low", "first").alias("component_id"))
     return rows.join(found, key, "left")

@@ -29,7 +29,7 @@ def frequent_table(docs: DataFrame, text: str, tokenizer: str, table_size: int,
 
 def token_counts(
     docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", limit: int = 1024,
-    table_size: int = 65_536, sample_rows: int = 1_000, cache_size: int = 1_000_000,
+    table_size: int = 65_536, sample_rows: int = 1_000, cache_size: int = 700_000,
 ) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) per row, as the tokenizer's library counts the whole text.
 
