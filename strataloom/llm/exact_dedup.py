@@ -162,7 +162,7 @@ def later_bytes(docs: DataFrame, id_col: str, text: str, length: int = 100, gram
         order, head, late = order_runs(*cols[:5])
         gone = order[late]
         keep = np.sort(order[~late & (head == np.arange(len(head)))])
-        yield deal(shard_of(cols[0][keep], shards), [c[keep] for c in cols])
+        yield deal(shard_of(mix(cols[0][keep]), shards), [c[keep] for c in cols])  # owners are least hashes, so not spread by themselves
         if len(gone):  # settled: marked by a negative size
             zero = np.zeros(len(gone), np.uint64)
             yield deal(shard_of(mix(cols[2][gone].view(np.uint64)), shards), [zero, zero, *(c[gone] for c in cols[2:5]), -cols[5][gone]])
