@@ -99,7 +99,7 @@ def _best(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries: np.nda
 
 
 def nearest(
-    vectors: DataFrame, is_query, id_col: str = "vec_id", column: str = "embedding", k: int = 20, trees: int = 24, enough: float = 0.6,
+    vectors: DataFrame, is_query, id_col: str = "vec_id", column: str = "embedding", k: int = 20, trees: int = 24, enough: float = 1.0,
     shard_rows: int = 8192, block_rows: int = 16_384, sample_rows: int = 2_000, seed: int = 3,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k largest inner products found for each row for which ``is_query`` holds.
