@@ -142,12 +142,16 @@ class HashEmbedder:
 
 
 class ScriptedCompleter:
-    """Replies by the first key that a prompt contains, after ``failures`` errors per prompt."""
+    """Replies by the first key that a prompt contains, after ``failures`` errors per prompt; each call may be noted in a
+    file, since every task has a client of its own."""
 
-    def __init__(self, replies: dict[str, object], failures: int = 0, error: str = "connection reset"):
-        self.replies, self.failures, self.error, self.seen = replies, failures, error, {}
+    def __init__(self, replies: dict[str, object], failures: int = 0, error: str = "connection reset", log: str | None = None):
+        self.replies, self.failures, self.error, self.log, self.seen = replies, failures, error, log, {}
 
     def complete(self, prompt):
+        if self.log:
+            with open(self.log, "a") as f:
+                f.write("x")
         self.seen[prompt] = self.seen.get(prompt, 0) + 1
         if self.seen[prompt] <= self.failures:
             raise RuntimeError(self.error)
