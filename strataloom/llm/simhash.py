@@ -258,7 +258,11 @@ def near_copies(
             us.append(u)
             vs.append(v)
         u, v = np.concatenate(us or [np.zeros(0, np.int64)]), np.concatenate(vs or [np.zeros(0, np.int64)])
-        x, y = forest(u, v) if len(u) else (u, v)
+        by = np.lexsort((b, a))  # one tree over fingerprints, whatever the number of buckets they meet in
+        new = np.concatenate([[True], (a[by][1:] != a[by][:-1]) | (b[by][1:] != b[by][:-1])])
+        first = np.empty(len(a), np.int64)
+        first[by] = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
+        x, y = forest(first[u], first[v]) if len(u) else (u, v)
         yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in (a[x], b[x], a[y], b[y])], ["a", "b", "c", "d"])
 
     parts = max(distinct.sparkSession.sparkContext.defaultParallelism, count // 20_000)
