@@ -80,3 +80,19 @@ def supervise(run: Callable[[], object], stop: Callable[[], bool], sleep: Callab
         except Exception:  # whatever ended the query, it is started again
             sleep(wait)
             wait = min(2 * wait, longest)
+
+
+def offer(files: DataFrame, uploads: DataFrame, prefix: str, doc_type: str) -> DataFrame:
+    """Manifest rows for a producer's files (path, content, doc_id, n_chunks, ok) that aren't known yet.
+
+    One invalid file stops them all: the result is then an error.
+    """
+    bad = files.where("not coalesce(ok, false)").count()
+    if bad:
+        raise ValueError(f"{bad} files are invalid; nothing is offered")
+    sha = F.sha2("content", 256)
+    rows = files.select(
+        F.lit(doc_type).alias("doc_type"), "doc_id", sha.alias("sha256"), F.concat(F.lit(prefix.rstrip("/") + "/"), "doc_id", F.lit("__"), F.left(sha, F.lit(8)), F.lit(".jsonl")).alias("storage_path"), "n_chunks",
+        F.lit("pending").alias("status"),
+    )
+    return ledger.new_uploads(uploads, rows)
