@@ -199,7 +199,7 @@ def later_bytes(docs: DataFrame, id_col: str, text: str, length: int = 100, gram
     asked = decided.where("ask is not null").groupBy("doc_id", "crc").agg(F.collect_list("ask").alias("ask"))
     asked = asked.withColumnsRenamed({"doc_id": "a_doc", "crc": "a_crc"})
     texts = base.join(asked.hint("merge"), (F.col("doc_id") == F.col("a_doc")) & (F.col("crc") == F.col("a_crc"))).drop("a_doc", "a_crc")
-    compare_shards = max(1, -(-bytes_ // 24_000_000))
+    compare_shards = max(1, -(-bytes_ // 6_000_000))
 
     def extract(batches):
         for b in slices(batches, "text"):
