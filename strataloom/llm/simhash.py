@@ -10,7 +10,7 @@ therefore holds only true links and loses no connection, so no bucket ever yield
 from __future__ import annotations
 
 from itertools import combinations
-from math import ceil, comb, log
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataloom.llm.blocks import BLOB, deal, forest, gather, mix, runs, shard_of, unpack_columns
+from strataloom.llm.blocks import BLOB, deal, forest, gather, mix, runs, shard_of, slices, unpack_columns
 from strataloom.operators.components import connected_components
 from strataloom.session import bound_batches, materialize
 
@@ -49,26 +49,17 @@ def majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(ones * 2 > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, id_col: str, text: str, words: int, wide: bool = False) -> DataFrame:
-    """(doc_id, fp) per row, and with ``wide`` a second, independent 64 bits as fp2."""
+def fingerprints(docs: DataFrame, id_col: str, text: str, words: int) -> DataFrame:
+    """(doc_id, fp) per row."""
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).cast("binary").alias("text"))
 
     def run(batches):
         for b in batches:
-            one, two = [], []
-            for t in b.column("text").to_pylist():
-                h = shingle_hashes(t or b"", words)
-                one.append(majority(h))
-                if wide:
-                    two.append(majority(mix(h ^ np.uint64(0x9E3779B97F4A7C15))))
-            cols = [b.column("doc_id"), pa.array(np.array(one, np.uint64).view(np.int64))]
-            names = ["doc_id", "fp"]
-            if wide:
-                cols, names = [*cols, pa.array(np.array(two, np.uint64).view(np.int64))], [*names, "fp2"]
-            yield pa.RecordBatch.from_arrays(cols, names)
+            fps = [majority(shingle_hashes(t or b"", words)) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "fp"])
 
-    return rows.mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, fp long" + ", fp2 long" * wide)
+    return rows.mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, fp long")
 
 
 #: Variants of even weight: no flip and all pairs of flips for even fingerprints, all single flips for odd ones.
@@ -176,97 +167,137 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     return _by_component(rows, links, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _tables(similarity: float, count: int, recall: float) -> tuple[int, int]:
-    """Bits per key and number of keys so that pairs at ``similarity`` meet with probability ``recall``."""
-    cosine = 2 * similarity / (1 + similarity)
-    p = float(np.arccos(cosine) / np.pi)
-    bits = max(20, ceil(log(max(count, 2), 2)) + 2)
-    meet = (1 - p) ** bits + comb(bits, 1) * p * (1 - p) ** (bits - 1)
-    return bits, ceil(log(1 - recall) / log(1 - meet))
+def _bands(similarity: float, rows: int, recall: float) -> int:
+    """Number of bands of ``rows`` least values, so that sets at ``similarity`` share one with probability ``recall``."""
+    return ceil(log(1 - recall) / log(1 - similarity**rows))
 
 
-def _linked_in_run(a: np.ndarray, b: np.ndarray, limit: int) -> tuple[list[int], list[int]]:
-    """Spanning links of one large bucket: each newly reached member is compared with those not yet reached."""
-    left, us, vs = np.arange(len(a)), [], []
-    while len(left):
-        queue, left = [left[0]], left[1:]
-        while queue and len(left):
+def exact_links(sets: list[np.ndarray], similarity: float) -> tuple[list[int], list[int]]:
+    """Spanning links of all pairs of sets (of distinct hashes) whose Jaccard similarity is at least ``similarity``.
+
+    Each newly reached set is counted against all others by the places of its hashes; those reached are not reached again.
+    """
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, name = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(name, kind="stable")
+    start, n = runs(name[order])
+    at, names = owner[order], np.split(name, np.cumsum(size)[:-1])
+    free, us, vs = np.ones(len(sets), bool), [], []
+    for root in range(len(sets)):
+        queue = [root] if free[root] else []
+        free[root] = False
+        while queue and free.any():
             x = queue.pop()
-            near = np.bitwise_count(a[left] ^ a[x]) + np.bitwise_count(b[left] ^ b[x]).astype(np.int64) <= limit
-            hit = left[near]
+            few = names[x][n[names[x]] > 1]
+            k = n[few]
+            places = np.repeat(start[few], k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+            both = np.bincount(at[places], minlength=len(sets))
+            hit = np.flatnonzero(free & (both / (size + size[x] - both) >= similarity)).tolist()
             us += [x] * len(hit)
-            vs += hit.tolist()
-            queue += hit.tolist()
-            left = left[~near]
+            vs += hit
+            queue += hit
+            free[hit] = False
     return us, vs
 
 
+def _candidate_links(texts: DataFrame, words: int, rows: int, bands: int, shards: int) -> DataFrame:
+    """Links (src, dst) between the nodes of ``texts`` (node, text) that share a band of least hashes, as stars."""
+    rng = np.random.default_rng(SEED)
+    flip, odd = (rng.integers(0, 2**64, (bands * rows, 1), dtype=np.uint64) for _ in range(2))
+    odd |= np.uint64(1)
+
+    def emit(batches):
+        for b in batches:
+            z, at = [], []
+            for node, t in zip(b.column("node").to_pylist(), b.column("text").to_pylist(), strict=True):
+                h = np.unique(shingle_hashes(t, words))
+                least = ((h ^ flip) * odd).min(axis=1).reshape(bands, rows)
+                key = np.arange(bands, dtype=np.uint64)
+                for k in range(rows):
+                    key = mix(key + least[:, k])
+                z.append(key)
+                at.append(np.full(bands, node, np.int64))
+            if z:
+                z = np.concatenate(z)
+                yield deal(shard_of(z, shards), [z, np.concatenate(at)])
+
+    def link(blobs):
+        z, node = (np.concatenate(c) for c in zip(*(unpack_columns(x, "u8", "i8") for x in blobs), strict=True))
+        order = np.argsort(z)
+        z, node = z[order], node[order]
+        start, n = runs(z)
+        first = np.repeat(node[start], n)
+        a, b = forest(first[first != node], node[first != node])
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["src", "dst"])
+
+    return gather(texts.mapInArrow(emit, BLOB), shards, link, "src long, dst long")
+
+
+def _verified(members: DataFrame, words: int, similarity: float, per_shard: int = 16 << 20) -> DataFrame:
+    """Links (src, dst) of ``members`` (node, component, text) whose shingle sets are as similar, within each component."""
+    shards = max(1, -(-(members.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // per_shard))
+
+    def emit(batches):
+        for whole in batches:
+            for b in slices(pa.Table.from_batches([whole]).to_batches(), "text"):
+                part, node = (b.column(c).to_numpy() for c in ("component", "node"))
+                sets = [np.unique(shingle_hashes(t, words)) for t in b.column("text").to_pylist()]
+                size = np.array([len(s) for s in sets])
+                to = shard_of(mix(part.view(np.uint64)), shards)
+                yield deal(np.repeat(to, size), [np.repeat(part, size), np.repeat(node, size), np.concatenate(sets)])
+
+    def link(blobs):
+        part, node, h = (np.concatenate(c) for c in zip(*(unpack_columns(x, "i8", "i8", "u8") for x in blobs), strict=True))
+        order = np.lexsort((h, node, part))
+        part, node, h = part[order], node[order], h[order]
+        new = np.concatenate([[True], (node[1:] != node[:-1]) | (part[1:] != part[:-1]) | (h[1:] != h[:-1])])
+        part, node, h = part[new], node[new], h[new]  # a text may come once a task
+        src, dst = [], []
+        for s, m in zip(*(x.tolist() for x in runs(part)), strict=True):
+            at, size = (x.tolist() for x in runs(node[s : s + m]))
+            u, v = exact_links([h[s + a : s + a + k] for a, k in zip(at, size, strict=True)], similarity)
+            ids = node[s : s + m][at]
+            src.append(ids[u])
+            dst.append(ids[v])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (src, dst)], ["src", "dst"])
+
+    return gather(members.mapInArrow(emit, BLOB), shards, link, "src long, dst long")
+
+
 def near_copies(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, recall: float = 0.97,
-    spread: float = 2.0, per_shard: int = 1_200_000,
+    band: int = 5, per_shard: int = 1_200_000,
 ) -> DataFrame:
-    """(doc_id, component_id) per row, for copies whose word shingles have a Jaccard similarity of about ``similarity`` or more.
+    """(doc_id, component_id) per row: texts whose sets of word shingles have a Jaccard similarity of at least
+    ``similarity`` are linked, components are transitive.
 
-    A 128-bit SimHash is sampled into keys; pairs within one bit of each other on a key meet (even keys emit themselves,
-    odd ones all single flips) and are linked when the 128 bits differ in at most as many as that similarity explains,
-    plus ``spread`` standard deviations. Key length and number of keys grow with the number of distinct fingerprints.
+    Candidates share a band of ``band`` least hashes; the number of bands gives a pair at ``similarity`` the chance
+    ``recall`` to meet, whatever the number of texts, and more similar pairs a higher one. The texts of each component of
+    candidates then meet in one task, where all their pairs are compared exactly, so no link is below ``similarity``.
     Nulls, empty texts and repeated rows are handled as in near_duplicates, but texts without words link to nothing.
     """
-    rows = materialize(fingerprints(docs, id_col, text, words, wide=True).withColumn("node", F.xxhash64("fp", "fp2")), "simhash")
-    distinct = materialize(rows.where("fp <> 0 or fp2 <> 0").select("node", "fp", "fp2").distinct(), "simhash-distinct")
-    count = distinct.count()
-    bits, tables = _tables(similarity, count, recall)
-    p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    limit = int(128 * p + spread * (128 * p * (1 - p)) ** 0.5)
-    pick = np.stack([np.random.default_rng([SEED, t]).permutation(128)[:bits] for t in range(tables)])
-    shards = max(1, -(-count * tables * (bits + 1) // 2 // per_shard))
-    weight = np.uint64(1) << np.arange(bits, dtype=np.uint64)
+    bound_batches(docs.sparkSession)
+    worded = F.coalesce(F.col(text).cast("string").rlike("[^\\t-\\r ]"), F.lit(False))
+    rows = materialize(docs.select(F.col(id_col).alias("doc_id"), F.when(worded, F.xxhash64(text)).alias("node")), "copies-rows")
+    texts = docs.where(worded).select(F.xxhash64(text).alias("node"), F.col(text).cast("binary").alias("text"))
+    bands = _bands(similarity, band, recall)
+    shards = max(1, -(-rows.where("node is not null").count() * bands // per_shard))
+    links = materialize(_candidate_links(_once(texts), words, band, bands, shards), "copies-candidates")
+    parts = materialize(connected_components(contracted(links)), "copies-groups").withColumnRenamed("id", "node")
+    members = materialize(_once(texts).join(parts, "node"), "copies-members")
+    sure = materialize(_verified(members, words, similarity), "copies-links")
+    blank = rows.where("node is null").select("doc_id", F.col("doc_id").alias("component_id"))
+    return _by_component(rows.where("node is not null"), sure, "node").select("doc_id", "component_id").unionByName(blank)
+
+
+def _once(texts: DataFrame) -> DataFrame:
+    """Each node once a task."""
 
-    def emit(batches):
+    def run(batches):
+        seen: set[int] = set()
         for b in batches:
-            hi, lo = (b.column(c).to_numpy().view(np.uint64) for c in ("fp", "fp2"))
-            for i in range(0, len(hi), 1000):
-                h, low = hi[i : i + 1000], lo[i : i + 1000]
-                sig = np.unpackbits(np.stack([h, low], axis=1).view(np.uint8), axis=1, bitorder="little")
-                zs, at = [], []
-                for t in range(tables):
-                    k = sig[:, pick[t]] @ weight
-                    odd = (np.bitwise_count(k) & 1).astype(bool)
-                    z = np.concatenate([k[~odd], (k[odd][:, None] ^ weight).ravel()])
-                    zs.append(mix(z * np.uint64(tables) + np.uint64(t)))
-                    at.append(np.concatenate([np.flatnonzero(~odd), np.repeat(np.flatnonzero(odd), bits)]))
-                z, at = np.concatenate(zs), np.concatenate(at)
-                yield deal(shard_of(z, shards), [z, h[at], low[at]])
+            keep = [i for i, x in enumerate(b.column("node").to_pylist()) if not (x in seen or seen.add(x))]
+            yield b.take(pa.array(keep, pa.int64()))
 
-    def link(blobs):
-        z, a, b = (np.concatenate(c) for c in zip(*(unpack_columns(x, "u8", "u8", "u8") for x in blobs), strict=True))
-        order = np.argsort(z)
-        z, a, b = z[order], a[order], b[order]
-        us, vs = [], []
-        start, n = runs(z)
-        for s, m in zip(start[n > 48].tolist(), n[n > 48].tolist(), strict=True):
-            u, v = _linked_in_run(a[s : s + m], b[s : s + m], limit)
-            us.append(np.array(u, np.int64) + s)
-            vs.append(np.array(v, np.int64) + s)
-        small = np.repeat(n <= 48, n)
-        for step in range(1, int(n[n <= 48].max(initial=1))):
-            u = np.flatnonzero((z[step:] == z[:-step]) & small[step:])
-            if not len(u):
-                break
-            v = u + step
-            u, v = u[near := np.bitwise_count(a[u] ^ a[v]) + np.bitwise_count(b[u] ^ b[v]).astype(np.int64) <= limit], v[near]
-            us.append(u)
-            vs.append(v)
-        u, v = np.concatenate(us or [np.zeros(0, np.int64)]), np.concatenate(vs or [np.zeros(0, np.int64)])
-        by = np.lexsort((b, a))  # one tree over fingerprints, whatever the number of buckets they meet in
-        new = np.concatenate([[True], (a[by][1:] != a[by][:-1]) | (b[by][1:] != b[by][:-1])])
-        first = np.empty(len(a), np.int64)
-        first[by] = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
-        x, y = forest(first[u], first[v]) if len(u) else (u, v)
-        yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in (a[x], b[x], a[y], b[y])], ["a", "b", "c", "d"])
-
-    parts = max(distinct.sparkSession.sparkContext.defaultParallelism, count // 20_000)
-    found = gather(distinct.select("fp", "fp2").repartition(parts).mapInArrow(emit, BLOB), shards, link, "a long, b long, c long, d long")
-    links = materialize(found.select(F.xxhash64("a", "b").alias("src"), F.xxhash64("c", "d").alias("dst")).where("src <> dst").distinct(), "simhash-links")
-    blank = rows.where("fp = 0 and fp2 = 0").select("doc_id", F.col("doc_id").alias("component_id"))
-    return _by_component(rows.where("fp <> 0 or fp2 <> 0"), links, "node").select("doc_id", "component_id").unionByName(blank)
+    return texts.mapInArrow(run, "node long, text binary")

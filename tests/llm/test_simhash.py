@@ -72,3 +72,24 @@ def test_near_copies_groups_edited_texts(spark):
     got = {r.doc_id: r.component_id for r in simhash.near_copies(df).collect()}
     assert [got[2 * i + 1] for i in range(40)] == [2 * i for i in range(40)] == [got[2 * i] for i in range(40)]
     assert got[900] == 900 and got[901] == 901
+
+
+def edited(rng, edits):
+    """A text of 300 words and the same with ``edits`` words changed, far apart: 296 shingles, of which 5 go with each."""
+    w = [f"t{x}" for x in rng.integers(0, 10**9, 300)]
+    v = list(w)
+    for k in range(edits):
+        v[20 + 40 * k] = f"new{k}"
+    return " ".join(w), " ".join(v)
+
+
+def test_near_copies_below_the_similarity_stay(spark):
+    """Seven edits leave 261 of 331 shingles, a similarity of 0.789; 14 leave 0.62."""
+    rng = np.random.default_rng(8)
+    rows = [t for k in (7, 7, 7, 7, 6, 6, 5, 5) for _ in range(15) for t in edited(rng, k)]
+    near = [k <= 6 for k in (7, 7, 7, 7, 6, 6, 5, 5) for _ in range(15)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(df).collect()}
+    assert all(got[2 * i] == 2 * i for i in range(len(near)))
+    linked = [got[2 * i + 1] == 2 * i for i in range(len(near))]
+    assert not any(a and not b for a, b in zip(linked, near))
