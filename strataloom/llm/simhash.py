@@ -266,7 +266,7 @@ def _verified(members: DataFrame, words: int, similarity: float, per_shard: int
 
 
 def near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, recall: float = 0.97,
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, recall: float = 0.999,
     band: int = 5, per_shard: int = 1_200_000,
 ) -> DataFrame:
     """(doc_id, component_id) per row: texts whose sets of word shingles have a Jaccard similarity of at least
