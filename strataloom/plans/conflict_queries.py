@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strataloom import ontology as o
@@ -95,12 +96,35 @@ def gate_topic(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", gates.generic_topic(topic).alias("generic"))
 
 
+def similar_texts(texts, words: int = 3, least: float = 0.5):
+    """(a, b), a < b: all pairs of ``texts`` (id, text) whose sets of word shingles have a Jaccard similarity of at least ``least``.
+
+    Such a pair shares one of either's rarest shingles (all but a share of ``least`` of them, plus one), so candidates meet
+    on these alone. A text of fewer words is one shingle; a text without words pairs with none.
+    """
+    w = F.filter(F.split(F.lower("text"), r"(?U)\s+"), lambda x: x != "")
+    grams = F.when(F.size("w") <= words, F.array(F.array_join("w", " "))).otherwise(F.transform(F.sequence(F.lit(1), F.size("w") - words + 1), lambda i: F.array_join(F.slice("w", i, words), " ")))
+    sets = texts.select("id", w.alias("w")).where("size(w) > 0").select("id", F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g))).alias("grams"))
+    sets = materialize(sets, "shingles")
+    each = sets.select("id", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
+    common = each.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    order = Window.partitionBy("id").orderBy("df", "gram")
+    rank = each.join(common, "gram", "left").withColumn("df", F.coalesce("df", F.lit(1))).withColumn("rank", F.row_number().over(order))
+    first = materialize(rank.where((F.col("rank") <= F.col("n") - F.ceil(F.col("n") * least) + 1) & (F.col("df") > 1)).select("id", "gram", "n"), "prefixes")
+    x, y = (first.select("gram", F.col("id").alias(i), F.col("n").alias(f"n_{i}")) for i in "ab")
+    met = x.join(y, "gram").where((F.col("a") < F.col("b")) & (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * least)).select("a", "b").distinct()
+    both = met.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    return both.where(shared >= least * (F.size("x") + F.size("y") - shared)).select("a", "b")
+
+
 def _near_copies(spark, sf_dir):
-    """Pairs of neighbouring documents that begin alike, as claims of one source."""
-    d = table(spark, sf_dir, "documents").where("length(text) between 1 and 3000").withColumn("head", F.substring("text", 1, 30))
-    a = d.select("head", F.col("doc_id").alias("a"), F.col("text").alias("text_a"), F.col("source").alias("source_a"))
-    b = d.select("head", F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    rows = a.join(b, "head").where("a < b").withColumn("source_b", F.when(F.col("b") % 2 == 0, F.col("source_a")).otherwise("another"))
+    """Pairs of documents of any length with similar texts, as claims of one source."""
+    d = table(spark, sf_dir, "documents")
+    a = d.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"), F.col("source").alias("source_a"))
+    b = d.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    pairs = materialize(similar_texts(d.select(F.col("doc_id").alias("id"), "text")), "similar")
+    rows = pairs.join(a, "a").join(b, "b").withColumn("source_b", F.when(F.col("b") % 2 == 0, F.col("source_a")).otherwise("another"))
     return rows.select("a", "b", "text_a", "text_b", "source_a", "source_b", F.lit("a topic").alias("topic_a"), F.lit("a topic").alias("topic_b"))
 
 

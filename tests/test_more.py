@@ -1,10 +1,12 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from strataloom.config import Settings
 from strataloom.operators import analytics, ledger
+from strataloom.plans.conflict_queries import similar_texts
 from strataloom.sources import graphs
 from strataloom.streaming import handoff
 
@@ -56,3 +58,22 @@ def test_offers(spark):
     assert [r.doc_id for r in handoff.offer(files, known, "inbox", "paper").collect()] == ["e"]
     with pytest.raises(ValueError):
         handoff.offer(files.withColumn("ok", F.col("doc_id") == "d"), empty, "inbox", "paper")
+
+
+def test_similar_texts_are_all_pairs(spark):
+    """Long texts, and edits among the first words, count like any other."""
+    rng = random.Random(4)
+    rows = []
+    for n in (2, 12, 12, 60, 60, 400, 1500):
+        w = [f"w{rng.randrange(500)}" for _ in range(n)]
+        for k in range(4):
+            v = list(w)
+            for _ in range(k * n // 25):
+                v[rng.randrange(n)] = "other"
+            rows += [" ".join(v), " ".join(["new", *v[1:]])]
+    rows += [None, "", " \t", "one", "one"]
+    sets = [{tuple(w[i : i + 3]) for i in range(max(1, len(w) - 2))} if (w := (t or "").split()) else set() for t in rows]
+    want = {(i, j) for j in range(len(sets)) for i in range(j) if sets[i] and 2 * len(sets[i] & sets[j]) >= len(sets[i] | sets[j])}
+    got = similar_texts(spark.createDataFrame(list(enumerate(rows)), "id long, text string")).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+    assert any(len(rows[i]) > 3000 and rows[i][:30] != rows[j][:30] for i, j in want)
