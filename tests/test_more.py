@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strataloom.config import Settings
 from strataloom.operators import analytics, ledger
+from strataloom.plans import catalogue
 from strataloom.plans.conflict_queries import similar_texts
 from strataloom.sources import graphs
 from strataloom.streaming import handoff
@@ -77,3 +78,40 @@ def test_similar_texts_are_all_pairs(spark):
     got = similar_texts(spark.createDataFrame(list(enumerate(rows)), "id long, text string")).collect()
     assert {tuple(r) for r in got} == want and len(got) == len(want)
     assert any(len(rows[i]) > 3000 and rows[i][:30] != rows[j][:30] for i, j in want)
+
+
+def test_graph_queries_read_all_line_items(spark, tmp_path):
+    """Every supplier and part is a node; closeness and betweenness against all pairs by breadth-first search."""
+    rng = random.Random(3)
+    items = [(k, rng.randrange(1, 60), rng.randrange(1, 120), rng.choice("ANR")) for k in range(1, 150)]
+    spark.createDataFrame(items, "l_orderkey long, l_suppkey long, l_partkey long, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    edges = {(-s, p) for _, s, p, _ in items} | {(p, -s) for _, s, p, r in items if r == "R"}
+    nodes = {x for e in edges for x in e}
+    out = {v: [b for a, b in edges if a == v] for v in nodes}
+    dist, ways = {}, {}
+    for v in nodes:
+        d, n, level = {v: 0}, {v: 1}, [v]
+        while level:
+            after = []
+            for x in level:
+                for y in out[x]:
+                    if y not in d:
+                        d[y], n[y] = d[x] + 1, 0
+                        after.append(y)
+                    if d[y] == d[x] + 1:
+                        n[y] += n[x]
+            level = after
+        dist[v], ways[v] = d, n
+    near, between = dict.fromkeys(nodes, 0.0), dict.fromkeys(nodes, 0.0)
+    for v in nodes:
+        to = [dist[u][v] for u in nodes if u != v and v in dist[u]]
+        near[v] = len(to) / sum(to) * len(to) / (len(nodes) - 1) if to else 0.0
+        for s in nodes - {v}:
+            for t in dist[s].keys() - {s, v}:
+                if v in dist[s] and t in dist[v] and dist[s][v] + dist[v][t] == dist[s][t]:
+                    between[v] += ways[s][v] * ways[v][t] / ways[s][t] / ((len(nodes) - 1) * (len(nodes) - 2))
+    q = catalogue.QUERIES
+    assert {r.id: r.closeness for r in q["closeness"](spark, str(tmp_path)).collect()} == pytest.approx(near, abs=1e-8)
+    assert {r.id: r.betweenness for r in q["betweenness"](spark, str(tmp_path)).collect()} == pytest.approx(between, abs=1e-8)
+    for name in ("pagerank", "louvain", "leiden"):
+        assert {r.id for r in q[name](spark, str(tmp_path)).collect()} == nodes
