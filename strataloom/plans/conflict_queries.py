@@ -334,15 +334,14 @@ def invariants_all(spark, sf_dir):
 
 
 @query("""
-with s as (select l_suppkey as src, l_partkey % 100 as dst from lineitem where l_orderkey < 200 union select l_partkey % 100, l_suppkey from lineitem where l_orderkey < 100),
+with s as (select l_suppkey as src, l_partkey as dst from lineitem union select l_partkey, l_suppkey from lineitem where l_returnflag = 'R'),
 d as (select s_suppkey as id from supplier where s_suppkey % 10 <> 0)
 select 'endpoint_type' as invariant, src::varchar as id from s where src not in (select id from d) union all select 'endpoint_type', dst::varchar from s where dst not in (select id from d)
 union all select 'two_cycle', x.src::varchar from s x join s y on x.src = y.dst and x.dst = y.src and x.src < x.dst union all select 'self_loop', src::varchar from s where src = dst
 """)
 def invariant_violations(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    k = F.col("l_partkey") % 100
-    s = li.where("l_orderkey < 200").select(F.col("l_suppkey").alias("src"), k.alias("dst")).union(li.where("l_orderkey < 100").select(k, "l_suppkey")).distinct()
+    s = li.select(F.col("l_suppkey").alias("src"), F.col("l_partkey").alias("dst")).union(li.where("l_returnflag = 'R'").select("l_partkey", "l_suppkey")).distinct()
     d = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.when(F.col("s_suppkey") % 10 != 0, "Result").otherwise("Method").alias("type"))
     empty = spark.createDataFrame([], "node_id string, description_id string")
     return conflict.invariants(s, d, empty, spark.createDataFrame([], "id string, resolution_type string, scope_conditions string"))

@@ -115,3 +115,17 @@ def test_graph_queries_read_all_line_items(spark, tmp_path):
     assert {r.id: r.betweenness for r in q["betweenness"](spark, str(tmp_path)).collect()} == pytest.approx(between, abs=1e-8)
     for name in ("pagerank", "louvain", "leiden"):
         assert {r.id for r in q[name](spark, str(tmp_path)).collect()} == nodes
+
+
+def test_recall_and_invariants_read_all_rows(spark, tmp_path):
+    """Rows of high ids count, and gold is benchmark items against documents."""
+    put = lambda name, rows, kind: spark.createDataFrame(rows, kind).write.parquet(f"{tmp_path}/{name}.parquet")
+    put("lineitem", [(5000, 1, 700, "R", "F"), (5001, 2, 701, "A", "F"), (5002, 3, 702, "N", "O")], "l_orderkey long, l_suppkey long, l_partkey long, l_returnflag string, l_linestatus string")
+    put("supplier", [(1,), (2,), (3,), (10,)], "s_suppkey long")
+    put("benchmark", [(1, "What is the sum?"), (2, "Never asked at all")], "item_id long, text string")
+    put("documents", [(7, "so: what is THE sum, then"), (8, None)], "doc_id long, text string")
+    q, at = catalogue.QUERIES, str(tmp_path)
+    assert [tuple(r)[:2] for r in q["relation_recall"](spark, at).collect()] == [(2, 3)]
+    assert [tuple(r)[:2] for r in q["gold_recall"](spark, at).collect()] == [(1, 2)]
+    got = sorted(map(tuple, q["invariant_violations"](spark, at).collect()))
+    assert got == sorted([("endpoint_type", k) for k in ("700", "700", "701", "702")] + [("two_cycle", "1")])
