@@ -11,7 +11,7 @@ from strataloom.operators import blocking, conflict, gates
 from strataloom.plans.registry import query, table
 from strataloom.session import materialize
 
-FLOOR, NEAR = 0.6, 5  # the synthetic vectors are far apart
+FLOOR, NEAR = 0.6, o.KNN  # the synthetic vectors are far apart, so the floor is lower than usual
 
 
 def _claims(spark, sf_dir):

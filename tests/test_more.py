@@ -1,6 +1,7 @@
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,3 +130,17 @@ def test_recall_and_invariants_read_all_rows(spark, tmp_path):
     assert [tuple(r)[:2] for r in q["gold_recall"](spark, at).collect()] == [(1, 2)]
     got = sorted(map(tuple, q["invariant_violations"](spark, at).collect()))
     assert got == sorted([("endpoint_type", k) for k in ("700", "700", "701", "702")] + [("two_cycle", "1")])
+
+
+def test_registered_pairs_have_fifteen_neighbours(spark):
+    at = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{at}/embeddings.parquet").orderBy("vec_id").collect()
+    v = np.array([r.embedding for r in rows], float)
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    score = np.round((1 + v @ v.T) / 2, 12)
+    want = set()
+    for i in range(len(rows)):
+        for j in np.lexsort((np.arange(len(rows)), -score[i]))[:16]:
+            if i != j and rows[i].label == rows[j].label and score[i, j] >= 0.6:
+                want.add(tuple(sorted((rows[i].vec_id, rows[j].vec_id))))
+    assert {(r.a, r.b) for r in catalogue.QUERIES["s2_pairs"](spark, at).collect()} == want
