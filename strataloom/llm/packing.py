@@ -12,7 +12,6 @@ import heapq
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -77,7 +76,9 @@ def pack(
 
     A document's ids are the word tokenizer's, without special tokens, then ``end_id``. Null and empty texts are the
     end id alone. Each row of ``docs`` is a document, so repeated rows are packed as often as they occur; null ids stay
-    null; other columns are ignored; an empty table gives no pieces. Sequences are filled without gaps from offset 0.
+    null; other columns, whatever their names, are ignored; an empty table gives no pieces. Very long texts are taken whole
+    and cut into windows. Pieces of equal length are packed in the order of ids, nulls last. Sequences are filled without
+    gaps from offset 0.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     bound_batches(docs.sparkSession)
@@ -108,14 +109,14 @@ def pack(
     small = pieces.where(F.col("length") < window).count()
     block_rows = block_pieces * 8
 
-    def fill(frames):
+    def fill(batches):
         seq, held, part = TaskContext.get().partitionId() << 36, [], 0
 
-        def packed(frame):
+        def packed(rows):
             nonlocal seq
-            frame = frame.sort_values(["length", "doc_id", "start"], ignore_index=True, kind="stable")
-            sequence, offset = np.zeros(len(frame), np.int64), np.zeros(len(frame), np.int64)
-            size = frame["length"].to_numpy()
+            rows = pa.Table.from_batches(rows).sort_by([("length", "ascending"), ("doc_id", "ascending"), ("start", "ascending")])
+            size = rows.column("length").to_numpy()
+            sequence, offset = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
             rest = np.flatnonzero(size < window)
             full = np.flatnonzero(size == window)
             sequence[full] = seq + np.arange(len(full))
@@ -126,16 +127,16 @@ def pack(
                     at = block[items]
                     sequence[at], offset[at] = seq, np.cumsum(size[at]) - size[at]
                     seq += 1
-            return frame.assign(sequence_id=sequence, offset=offset)
+            return rows.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset)).to_batches()
 
-        for f in frames:
-            held.append(f)
-            part += len(f)
+        for b in batches:
+            held.append(b)
+            part += len(b)
             if part >= block_rows:
-                yield packed(pd.concat(held))
+                yield from packed(held)
                 held, part = [], 0
         if part:
-            yield packed(pd.concat(held))
+            yield from packed(held)
 
     whole = T.StructType([*fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return pieces.coalesce(max(1, small // (4 * block_pieces))).mapInPandas(fill, whole)
+    return pieces.coalesce(max(1, small // (4 * block_pieces))).mapInArrow(fill, whole)

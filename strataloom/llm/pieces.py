@@ -30,8 +30,11 @@ def byte_pieces(text: str) -> list[str]:
 def word_pieces(text: str) -> list[str]:
     """Pieces for the lower-casing word tokenizer, which drops white space.
 
-    Only texts already in NFC are cut and lower-cased here; others go to the library whole.
+    Only texts already in NFC are cut and lower-cased here; others go to the library whole, and so do texts that may hold
+    a special string, which the library looks for before it lower-cases.
     """
+    if "<|" in text:
+        return [text]
     if not text.isascii():
         if _UNSAFE.search(text) or not unicodedata.is_normalized("NFC", text):
             return [text] if text else []

@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 from strataloom.llm import packing, pieces, token_counts
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
-ODD = [*"abZé'sstre.,!?;: \n\t\r\v\x1c\x85\xa0​́ΣσİéÀß12½ª日😀_-<|>", "<|endoftext|>", "<|startoftext|>", " 's", "'ll", "  "]
+ODD = [*"abZé'sstre.,!?;: \n\t\r\v\x1c\x85\xa0​́ΣσİéÀß12½ª日😀_-<|>", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", " 's", "'ll", "  "]
 
 
 def test_pieces_give_the_librarys_ids():
@@ -20,6 +20,19 @@ def test_pieces_give_the_librarys_ids():
             assert np.frombuffer(b"".join(map(get, cut(t))), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
 
 
+def test_special_strings_in_upper_case():
+    tok, get = Tokenizer.from_file(WORD), pieces.ids_cache(WORD).__getitem__
+    for t in ("<|ENDOFTEXT|>", "a <|EndOfText|> b", "<|STARTOFTEXT|>x", "<|endoftext|>", "A<|B", "É <|ENDOFTEXT|>"):
+        assert np.frombuffer(b"".join(map(get, pieces.word_pieces(t))), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
+def test_packing_keeps_large_ids_beside_nulls(spark):
+    ids = [2**53 + 1, None, -(2**63), 2**63 - 1, None]
+    df = spark.createDataFrame([(i, "a b", 0) for i in ids], "doc_id long, text string, length int").coalesce(1)
+    got = [r.doc_id for r in packing.pack(df, WORD).collect()]
+    assert sorted(got, key=lambda x: (x is None, x)) == sorted(ids, key=lambda x: (x is None, x))
+
+
 def test_counts(spark):
     rows = [(1, "Hello, world's end."), (2, None), (3, ""), (4, "x y" * 4000), (None, "a"), (1, "Hello, world's end.")]
     df = spark.createDataFrame([(d, t, 0) for d, t in rows], "doc_id long, text string, n_tokens int")
