@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataloom.llm.blocks import BLOB, deal, forest, gather, mix, runs, shard_of, slices, unpack_columns
+from strataloom.llm.blocks import BLOB, deal, forest, gather, mix, pack_columns, runs, shard_of, slices, unpack_columns
 from strataloom.operators.components import connected_components
 from strataloom.session import bound_batches, materialize
 
@@ -97,41 +97,64 @@ def star_edges(z: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return centre[good], fp[good]
 
 
-def _candidates(distinct: DataFrame) -> DataFrame:
-    """Fingerprints that agree with another one on three of six blocks of bits, as any two within three bits do."""
-    sizes, masks, low = (11, 11, 11, 11, 10, 10), [], 0
-    for s in sizes:
-        masks.append(((1 << s) - 1) << low)
-        low += s
-    keys = [sum(c) for c in combinations(masks, 3)]
-    signed = [k - (1 << 64) if k >> 63 else k for k in keys]
-    keyed = distinct.select("fp", F.explode(F.array(*(F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(k)).alias("bits")) for i, k in enumerate(signed)))).alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high").select("key")
-    return keyed.join(shared, "key", "left_semi").select("fp").distinct()
-
-
 def ball_links(distinct: DataFrame, variants_per_shard: int = 3_000_000) -> DataFrame:
-    """Links (src, dst) that connect all distinct fingerprints within three bits of each other."""
-    some = materialize(_candidates(distinct), "simhash-candidates")
-    count = some.count()
+    """Links (src, dst) that connect all distinct fingerprints within three bits of each other.
+
+    Every fingerprint emits its variants. One travels as the place of its fingerprint in a list and the code of its flips,
+    a byte or two each once compressed, as a fingerprint has several variants in most shards.
+    """
+    rows = materialize(distinct, "simhash-distinct")
+    count = rows.count()
     shards = max(1, -(-count * 1041 // variants_per_shard))
-    spread = some.repartition(max(some.sparkSession.sparkContext.defaultParallelism, count // 20_000))
+    spread = rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, count // 20_000))
 
     def emit(batches):
         for b in batches:
             fps = b.column("fp").to_numpy().view(np.uint64)
-            for i in range(0, len(fps), 1500):
-                z, code = variants(fps[i : i + 1500])
-                yield deal(shard_of(mix(z), shards), [z, code])
+            for i in range(0, len(fps), 4096):
+                yield _dealt_variants(fps[i : i + 4096], shards)
 
     def link(blobs):
-        z, code = (np.concatenate(c) for c in zip(*(unpack_columns(x, "u8", "u2") for x in blobs), strict=True))
-        a, b = forest(*star_edges(z, code))
-        yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["src", "dst"])
+        z, code = (np.concatenate(c) for c in zip(*map(_shard_variants, blobs), strict=True))
+        order = np.sort(z)
+        shared = order[1:][order[1:] == order[:-1]]
+        if len(shared):
+            shared = shared[np.concatenate([[True], shared[1:] != shared[:-1]])]
+            at = np.minimum(np.searchsorted(shared, z), len(shared) - 1)
+            met = shared[at] == z
+            a, b = forest(*star_edges(z[met], code[met]))
+            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["src", "dst"])
 
     return gather(spread.mapInArrow(emit, BLOB), shards, link, "src long, dst long")
 
 
+def _dealt_variants(fps: np.ndarray, shards: int) -> pa.RecordBatch:
+    """All variants of some fingerprints, by shard: those fingerprints that have any in it, and a pair of numbers each."""
+    odd = (np.bitwise_count(fps) & 1).astype(bool)
+    fps = np.concatenate([fps[~odd], fps[odd]])
+    z, code = variants(fps)
+    owner = np.repeat(np.arange(len(fps), dtype=np.uint16), np.where(np.arange(len(fps)) < (~odd).sum(), len(_EVEN), len(_ODD)))
+    to = shard_of(mix(z), shards)
+    order = np.argsort(to.astype(np.uint16) if shards < 1 << 16 else to, kind="stable")
+    ids, starts = np.unique(to[order], return_index=True)
+    blobs = []
+    for at in np.split(order, starts[1:]):
+        who, c = owner[at], code[at]
+        new = np.concatenate([[True], who[1:] != who[:-1]])
+        head = pack_columns(fps[who[new]])
+        blobs.append(len(head).to_bytes(8, "little") + head + pack_columns(new, np.diff(c, prepend=c[:1] * 0)))
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "blob"])
+
+
+def _shard_variants(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(variant, code) of what _dealt_variants sent to a shard."""
+    n = int.from_bytes(blob[:8], "little")
+    (fps,) = unpack_columns(blob[8 : 8 + n], "u8")
+    new, step = unpack_columns(blob[8 + n :], "?", "u2")
+    code = np.cumsum(step, dtype=np.uint16)
+    return fps[np.cumsum(new) - 1] ^ FLIPS[code], code
+
+
 def contracted(links: DataFrame, most: int = 250_000) -> DataFrame:
     """The links (materialized) as one forest per ``most`` of them. Shards each span a large group of copies with a tree of
     their own; this keeps the edge list near the number of nodes, whatever the number of shards."""

@@ -54,6 +54,14 @@ def test_ball_finds_every_link_of_three_bits():
         assert got.get(a, a) == got.get(b, b)
 
 
+def test_dealt_variants_are_all_variants():
+    fps = np.unique(np.random.default_rng(2).integers(0, 2**63, 700, dtype=np.uint64))
+    blobs = simhash._dealt_variants(fps, 37).column("blob").to_pylist()
+    z, code = (np.concatenate(c) for c in zip(*map(simhash._shard_variants, blobs)))
+    want_z, want_code = simhash.variants(fps)
+    assert sorted(zip(z.tolist(), code.tolist())) == sorted(zip(want_z.tolist(), want_code.tolist()))
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(df).count() == 0
