@@ -288,32 +288,64 @@ def _verified(members: DataFrame, words: int, similarity: float, per_shard: int
     return gather(members.mapInArrow(emit, BLOB), shards, link, "src long, dst long")
 
 
-def near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, recall: float = 0.999,
-    band: int = 5, per_shard: int = 1_200_000,
-) -> DataFrame:
-    """(doc_id, component_id) per row: texts whose sets of word shingles have a Jaccard similarity of at least
-    ``similarity`` are linked, components are transitive.
-
-    Candidates share a band of ``band`` least hashes; the number of bands gives a pair at ``similarity`` the chance
-    ``recall`` to meet, whatever the number of texts, and more similar pairs a higher one. The texts of each component of
-    candidates then meet in one task, where all their pairs are compared exactly, so no link is below ``similarity``.
-    Nulls, empty texts and repeated rows are handled as in near_duplicates, but texts without words link to nothing.
-    """
+def _copy_groups(docs: DataFrame, id_col: str, text: str, words: int, similarity: float, recall: float, band: int, per_shard: int) -> tuple[DataFrame, DataFrame]:
+    """(rows with doc_id and node, exact links between nodes); a node is a text by its hash, null without words."""
     bound_batches(docs.sparkSession)
     worded = F.coalesce(F.col(text).cast("string").rlike("[^\\t-\\r ]"), F.lit(False))
     rows = materialize(docs.select(F.col(id_col).alias("doc_id"), F.when(worded, F.xxhash64(text)).alias("node")), "copies-rows")
     texts = docs.where(worded).select(F.xxhash64(text).alias("node"), F.col(text).cast("binary").alias("text"))
+    prints = materialize(fingerprints(_once(texts), "node", "text", words).withColumnRenamed("doc_id", "node"), "copies-fingerprints")
+    ball = materialize(ball_links(prints.select("fp").distinct()), "copies-ball")
+    first = prints.groupBy("fp").agg(F.min("node").alias("first"))
+    same = prints.join(first, "fp").where("node <> first").select(F.col("node").alias("src"), F.col("first").alias("dst"))
+    near = ball.join(first.toDF("src", "a"), "src").join(first.toDF("dst", "b"), "dst").select(F.col("a").alias("src"), F.col("b").alias("dst"))
     bands = _bands(similarity, band, recall)
     shards = max(1, -(-rows.where("node is not null").count() * bands // per_shard))
-    links = materialize(_candidate_links(_once(texts), words, band, bands, shards), "copies-candidates")
+    met = _candidate_links(_once(texts), words, band, bands, shards)
+    links = materialize(same.unionByName(near).unionByName(met), "copies-candidates")
     parts = materialize(connected_components(contracted(links)), "copies-groups").withColumnRenamed("id", "node")
     members = materialize(_once(texts).join(parts, "node"), "copies-members")
-    sure = materialize(_verified(members, words, similarity), "copies-links")
+    return rows, materialize(_verified(members, words, similarity), "copies-links")
+
+
+def near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, recall: float = 0.999,
+    band: int = 5, per_shard: int = 1_200_000,
+) -> DataFrame:
+    """(doc_id, component_id) per row: texts whose sets of word shingles have a Jaccard similarity of at least
+    ``similarity`` are linked, components are transitive.
+
+    Candidates are SimHash fingerprints within three bits, found by ball hashing as in near_duplicates. A pair at 0.8 differs
+    in some ten of 64 bits, which no ball reaches, so candidates also are texts that share a band of ``band`` least hashes;
+    the number of bands gives a pair at ``similarity`` the chance ``recall`` to meet, whatever the number of texts, and more
+    similar pairs a higher one. The texts of each component of candidates then meet in one task, where all their pairs are
+    compared exactly, so no link is below ``similarity``. Nulls, empty texts and repeated rows are handled as in
+    near_duplicates, but texts without words link to nothing.
+    """
+    rows, sure = _copy_groups(docs, id_col, text, words, similarity, recall, band, per_shard)
     blank = rows.where("node is null").select("doc_id", F.col("doc_id").alias("component_id"))
     return _by_component(rows.where("node is not null"), sure, "node").select("doc_id", "component_id").unionByName(blank)
 
 
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, recall: float = 0.999,
+    band: int = 5, per_shard: int = 1_200_000,
+) -> DataFrame:
+    """One row of ``docs``, whole, of each group that near_copies finds: that of the smallest id, a null id coming last, and
+    of the smallest text hash among rows that share the id. Rows that repeat an id and a text count once. Texts without
+    words (null, empty, blank) link to nothing, so each of them stays. An empty table gives an empty result.
+    """
+    rows, sure = _copy_groups(docs, id_col, text, words, similarity, recall, band, per_shard)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
+    first = rows.where("node is not null").groupBy("node").agg(F.min(place).alias("place"))
+    part = materialize(connected_components(contracted(sure)), "copies-components").toDF("node", "component")
+    stays = first.join(part, "node", "left").groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("place").alias("place"))
+    stays = materialize(stays.select(F.col("place.doc_id").alias("__stays"), F.col("place.node").alias("__node")), "copies-stay")
+    worded = F.coalesce(F.col(text).cast("string").rlike("[^\\t-\\r ]"), F.lit(False))
+    kept = docs.where(worded).join(stays, F.col(id_col).eqNullSafe(F.col("__stays")) & (F.xxhash64(text) == F.col("__node")), "left_semi")
+    return kept.unionByName(docs.where(~worded)).dropDuplicates([id_col, text])
+
+
 def _once(texts: DataFrame) -> DataFrame:
     """Each node once a task."""
 

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 import corpus_pipeline as cp
 from strataloom.llm import quality
 
@@ -49,6 +51,26 @@ def test_one_of_each_group_stays(spark):
     assert sum(r.doc_id is None for r in got.collect()) == 1
 
 
+def test_rows_and_not_ids_stay(spark):
+    rnd = random.Random(8)
+    a, b = (" ".join(f"w{rnd.randint(0, 99999)}" for _ in range(200)) for _ in range(2))
+    near = a.replace(a.split()[50], "changed")
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(3, a, "en", "s", 1), (5, near, "en", "s", 1), (5, b, "en", "s", 2), (5, b, "en", "s", 2), (None, near, "en", "s", 3), (9, "", "en", "s", 0)], schema)
+    assert rows(cp.one_of_each(spark, docs, DATA)) == sorted([(3, a, "en", "s", 1), (5, b, "en", "s", 2), (9, "", "en", "s", 0)], key=str)
+
+
+@pytest.mark.parametrize("name", ["quality", "lines", "near_copies", "mixing", "packing"])
+def test_stages_take_empty_tables_and_nulls(spark, name):
+    stage = dict(cp.STAGES)[name]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(None, None, None, None, None), (1, "", None, "s", 0), (1, "", None, "s", 0), (2, "word " * 60_000, "en", None, None), (None, "a b c", "en", "src0", 5)], schema)
+    out = stage(spark, docs, DATA)
+    assert name == "packing" or out.columns == docs.columns
+    assert {r.doc_id for r in out.collect()} <= {None, 1, 2}
+    assert stage(spark, docs.limit(0), DATA).count() == 0
+
+
 def test_mixing_stage_returns_documents(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     got = cp.mixed(spark, docs, DATA)
