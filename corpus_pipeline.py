@@ -15,30 +15,44 @@ from strataloom.session import materialize
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier doesn't reject (a score of 0.7 or more)."""
+    """Documents that the quality classifier doesn't reject (a score of 0.7 or more).
+
+    Rows are judged one by one, so repeated rows share a fate; null and empty texts get the bias's score; a null id teaches
+    nothing. An empty table gives an empty one.
+    """
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.score(docs, model, out="__score").where("__score >= 0.7").drop("__score")
 
 
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later copies of line runs of 20 words or more; those of which no word is left go."""
+    """Documents without later copies of line runs of 20 words or more; those of which no word is left go.
+
+    Null and empty texts stay. Rows that repeat an id and a text are one document and keep their lines; a null id comes
+    before all others. An empty table gives an empty one.
+    """
     out = line_dedup.dedup_lines(docs, min_words=20).where("n_removed_lines = 0 or text rlike '[^\\\\s]'")
     return out.withColumn("n_chars", F.when(F.col("n_removed_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies (five-word shingles, similarity 0.8), once."""
-    stays = simhash.near_copies(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("__stays")).distinct()
-    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("__stays")), "left_semi").dropDuplicates(["doc_id", "text"])
+    """The row with the smallest id of each group of near copies (five-word shingles, similarity 0.8), once.
+
+    A null id comes last. Texts without words link to nothing and stay, repeated rows once. An empty table gives an empty one.
+    """
+    return simhash.one_of_each(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in the target mixture, with the tokens of four fifths of the input; no document more than twice."""
+    """Documents in the target mixture, with the tokens of four fifths of the input; no document more than twice.
+
+    Null languages and sources count as ''; null and empty texts have no tokens and are taken where the order puts them.
+    Repeated rows are taken one by one. An empty table gives an empty one.
+    """
     return mixing.mix_sources(docs, mixing.source_domain(), share=0.8, weights=mixing.WEIGHTS, max_epochs=2).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 2048 tokens."""
+    """Pieces of sequences of 2048 tokens. Null and empty texts are an end id alone, every row is packed, a null id stays null."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
