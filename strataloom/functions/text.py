@@ -56,7 +56,7 @@ def relation_name(c: Column) -> Column:
 def property_key(c: Column) -> Column:
     """camelCase of the words; a text without words stays."""
     words = F.filter(F.split(strip(c), r"(?U)\s+"), lambda w: w != "")
-    tail = F.transform(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 1_000_000))))
+    tail = F.transform(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substr(w, F.lit(2)))))
     return F.when(F.size(words) == 0, c).otherwise(F.concat(F.lower(F.element_at(words, 1)), F.array_join(tail, "")))
 
 

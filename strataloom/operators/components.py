@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from strataloom.session import delete_path, scratch_path
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(id, component) for every node of an undirected edge list; component is the smallest id in reach.
 
     Self-loops keep their node, null endpoints are ignored, repeated edges count once. Each round keeps
     at most one edge per node and star centre, so neither a hub nor a long chain grows the edge list,
-    and all state between rounds lies in the shared folder.
+    and all state between rounds lies in the shared folder. Rounds go on until the edges no longer change.
     """
     spark = edges.sparkSession
     pairs = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null")
@@ -34,7 +34,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         return rows.join(low, "u")
 
     seen = None
-    for _ in range(max_rounds):
+    while True:
         both = edge.unionByName(edge.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = star(large)

@@ -12,12 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Folder that the driver and every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) is a local folder made and set.
+    Only where the session names none and its master is local (tests on one machine) is a local folder made and set; on a
+    cluster without a shared folder this raises.
     """
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
         at = spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         at = f"file://{tempfile.mkdtemp(prefix='strataloom-')}"
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
