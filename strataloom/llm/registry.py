@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from strataloom.llm import exact_dedup, line_dedup, media, mixing, neighbours, packing, quality, simhash, token_counts, warc
+from strataloom.session import materialize
 
 
 def table(spark, sf_dir: str, name: str):
@@ -29,7 +30,8 @@ def op4_mixing(spark, sf_dir):
 
 
 def op5_media(spark, sf_dir):
-    return media.read_media(media.encode_media(table(spark, sf_dir, "documents")))
+    stored = materialize(media.encode_media(table(spark, sf_dir, "documents")), "media")
+    return media.read_media(stored)
 
 
 def op6_neighbours(spark, sf_dir):
