@@ -1,13 +1,21 @@
-"""Line dedup by prefix doubling over line-ID sequences.
+"""Line dedup by a suffix array over line-ID sequences, built by distributed prefix doubling.
 
-Every line with a word gets a 128-bit ID; a run of 2h lines is named after its two halves of h lines, so log rounds name
-runs of any length (a run between two powers by its two overlapping halves). Names are hashes rather than ranks, so a
-round needs no global sort; the one sort by name, dealt over shards, puts suffixes with an equal head side by side. Such
-an interval of suffixes is a repeated run; its member at the smallest place stays and the later copies are deleted.
+Every line with a word gets a 128-bit ID. A round of doubling ranks the runs of 2h lines that begin at each line: the pair
+of ranks of its two halves is a key, keys are sorted over the whole cluster, and a key's place in that order is the new
+rank. The suffixes sorted by rank are the suffix array up to 2h lines. Suffixes whose rank is theirs alone can't begin a
+repeated run of that length and drop out, so later rounds shrink to what repeats.
+
+A longest-common-prefix interval is a stretch of the array whose neighbours share at least so many lines. Those that
+matter share ``min_words`` words: for each line the shortest run of so many words from it and the shortest one to it. Its
+interval is named by its length and the ranks of its first and last 2^k lines, which overlap to cover it. The member at the
+smallest place stays, and the later copies are deleted; neighbouring intervals together make up the maximal repeated runs.
 
 Deleted is exactly every line that lies in some run of consecutive lines with at least ``min_words`` words that also
 starts earlier (smaller doc_id, or same document and earlier line). Any such run is covered by its shortest sub-runs of
-that many words that begin or end at one of its lines, so only those two runs per line need names.
+that many words that begin or end at one of its lines; they have ``min_words`` lines at most, so log2(min_words) rounds do.
+
+All rounds are sorts, aggregations and joins of the engine: no interval is ever gathered in a task, as its first member
+comes from a partial aggregation, and a rank in a third of all rows is a skewed side of a join that is dealt anew.
 """
 
 from __future__ import annotations
@@ -19,12 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataloom.llm.blocks import BLOB, deal, gather, mix, shard_of, slices, unpack_columns
-from strataloom.llm.repeats import SPANS, free_shuffles, keyed, order_runs, span_rows, union, volume, with_spans
+from strataloom.llm.blocks import slices
+from strataloom.llm.repeats import SPANS, keyed, span_rows, union, with_spans
 from strataloom.session import materialize
 
-_KINDS = ("u8", "u8", "i8", "i8", "i4", "i4")
-_K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+PLACE = ["doc_id", "crc", "i"]
 
 
 def word_lines(text: bytes) -> list[int]:
@@ -32,17 +39,11 @@ def word_lines(text: bytes) -> list[int]:
     return [i for i, line in enumerate(text.split(b"\n")) if line.strip()]
 
 
-def _pair(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return np.stack([mix(x[0] * _K1 + mix(y[0])), mix(x[1] * _K2 + mix(y[1] ^ _K1))])
-
+def shortest_runs(words: np.ndarray, owner: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first line, number of lines) of the shortest runs of ``min_words`` words from and to each line, by first line.
 
-def name_runs(ids: np.ndarray, words: np.ndarray, owner: np.ndarray, min_words: int):
-    """(names, first line, number of lines) of the shortest runs of ``min_words`` words from and to each line.
-
-    ids is (2, n); owner is each line's document, ascending. Runs never leave their document.
+    owner is each line's document, ascending. Runs never leave their document.
     """
-    n = len(words)
     total = np.concatenate([[0], np.cumsum(words)])
     begin = np.searchsorted(owner, owner, "left")
     end = np.searchsorted(owner, owner, "right")
@@ -52,68 +53,87 @@ def name_runs(ids: np.ndarray, words: np.ndarray, owner: np.ndarray, min_words:
     s = np.concatenate([np.flatnonzero(a), since[b]])
     e = np.concatenate([to[a], np.flatnonzero(b) + 1])
     if not len(s):
-        return np.zeros((2, 0), np.uint64), s, s
+        return s, s
     s, e = np.unique(np.stack([s, e]), axis=1)
-    size = e - s
-    level = np.floor(np.log2(size)).astype(np.int64)
-    names, out, h = ids, np.zeros((2, len(s)), np.uint64), 1
-    for k in range(int(level.max()) + 1):
-        at = np.flatnonzero(level == k)
-        out[:, at] = _pair(_pair(names[:, s[at]], names[:, e[at] - h]), np.stack([size[at], size[at]]).astype(np.uint64))
-        if k < level.max():
-            ahead = np.minimum(np.arange(n) + h, n - 1)
-            names = _pair(names, names[:, ahead])
-            h *= 2
-    return out, s, size
-
-
-def later_lines(docs: DataFrame, id_col: str, text: str, min_words: int, shard_bytes: int = 16_000_000) -> DataFrame:
-    """Spans, in lines that hold a word, to delete from each document."""
-    shards = max(1, -(-volume(docs, text) // (10 * shard_bytes)))
+    return s, e - s
+
+
+def _lines(docs: DataFrame, id_col: str, text: str, min_words: int) -> DataFrame:
+    """(doc_id, crc, i, hi, lo, sizes): a row per line with its ID, and the sizes of the shortest runs from it on."""
 
     def emit(batches):
         for b in slices(batches, "text"):
-            hashes, words, owner, first, at = [], [], [], [], 0
-            docs_, crcs = b.column("doc_id").to_numpy(), b.column("crc").to_numpy()
-            for i, t in enumerate(b.column("text").to_pylist()):
-                first.append(at)
+            hashes, words, owner, first = [], [], [], []
+            for k, t in enumerate(b.column("text").to_pylist()):
+                first.append(len(words))
                 for line in t.split(b"\n"):
                     if w := len(line.split()):
                         hashes.append(xxhash.xxh3_128_digest(line))
                         words.append(w)
-                        owner.append(i)
-                        at += 1
+                        owner.append(k)
             if not words:
                 continue
-            ids = np.frombuffer(b"".join(hashes), ">u8").reshape(-1, 2).T.astype(np.uint64)
+            ids = np.frombuffer(b"".join(hashes), ">i8").reshape(-1, 2).astype(np.int64)
             owner = np.array(owner)
-            names, s, size = name_runs(ids, np.array(words), owner, min_words)
-            if not len(s):
-                continue
-            who = owner[s]
-            cols = [names[0], names[1], docs_[who], crcs[who], (s - np.array(first)[who]).astype(np.int32), size.astype(np.int32)]
-            order, head, late = order_runs(*cols[:5])
-            cols = [c[order] for c in cols]
-            keep = np.flatnonzero(~late & (head == np.arange(len(head))))
-            yield deal(shard_of(cols[0][keep], shards), [c[keep] for c in cols])
-            gone = np.flatnonzero(late)  # for good: the earlier copy is in this batch; marked by a negative size
-            if len(gone):
-                done = [np.zeros(len(gone), np.uint64), np.zeros(len(gone), np.uint64), *(c[gone] for c in cols[2:5]), -cols[5][gone]]
-                yield deal(shard_of(mix(cols[2][gone].view(np.uint64)), shards), done)
-
-    def decide(blobs):
-        k1, k2, doc, crc, start, size = (np.concatenate(c) for c in zip(*(unpack_columns(x, *_KINDS) for x in blobs), strict=True))
-        done = size < 0
-        live = [c[~done] for c in (k1, k2, doc, crc, start, size)]
-        order, _, late = order_runs(*live[:5])
-        late = order[late]
-        size = np.concatenate([-size[done], live[5][late]])
-        start = np.concatenate([start[done], live[4][late]])
-        yield from span_rows(np.concatenate([doc[done], live[2][late]]), np.concatenate([crc[done], live[3][late]]), start, start + size)
-
-    found = materialize(gather(keyed(docs, id_col, text).mapInArrow(emit, BLOB), shards, decide, SPANS), "lines")
-    free_shuffles(docs)
-    return found
+            s, size = shortest_runs(np.array(words), owner, min_words)
+            cuts = np.searchsorted(s, np.arange(len(words) + 1)).astype(np.int32)
+            sizes = pa.ListArray.from_arrays(pa.array(cuts), pa.array(size.astype(np.int32)))
+            whose = pa.array(owner.astype(np.int32))
+            at = (np.arange(len(words)) - np.array(first)[owner]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(whose), b.column("crc").take(whose), pa.array(at), pa.array(ids[:, 0]), pa.array(ids[:, 1]), sizes], names)
+
+    names = [*PLACE, "hi", "lo", "sizes"]
+    return keyed(docs, id_col, text).mapInArrow(emit, "doc_id long, crc long, i int, hi long, lo long, sizes array<int>")
+
+
+def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys with more than one place, with the first of them."""
+    place = F.struct(*PLACE)
+    return rows.groupBy(*keys).agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").drop("last")
+
+
+def _ranked(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` whose key (hi, lo) repeats, with the key's rank in place of it: its place in the order of all keys."""
+    keys = _repeated(rows, ["hi", "lo"]).select("hi", "lo")
+    ranks = materialize(keys.repartitionByRange("hi", "lo").sortWithinPartitions("hi", "lo").withColumn("rank", F.monotonically_increasing_id()), f"{name}-ranks")
+    return rows.join(ranks.hint("merge"), ["hi", "lo"]).drop("hi", "lo")
+
+
+def suffix_ranks(lines: DataFrame, rounds: int) -> list[DataFrame]:
+    """(doc_id, crc, i, rank) of suffixes whose first 1, 2, 4, ... lines repeat, ``rounds`` doublings from ``lines`` on."""
+    levels = [lines.select(*PLACE, "rank")]
+    for k in range(rounds):
+        ahead = levels[-1].select("doc_id", "crc", (F.col("i") - (1 << k)).alias("i"), F.col("rank").alias("lo"))
+        pairs = levels[-1].withColumnRenamed("rank", "hi").join(ahead.hint("merge"), PLACE)
+        levels.append(materialize(_ranked(pairs, f"lines-{2 << k}"), f"lines-{2 << k}"))
+    return levels
+
+
+def later_lines(docs: DataFrame, id_col: str, text: str, min_words: int) -> DataFrame:
+    """Spans, in lines that hold a word, to delete from each document."""
+    lines = materialize(_lines(docs, id_col, text, min_words), "lines")
+    alive = materialize(_ranked(lines, "lines-1").dropDuplicates(PLACE), "lines-1")  # rows that repeat a document count once
+    most = alive.agg(F.max(F.array_max("sizes"))).first()[0] or 1
+    levels = suffix_ranks(alive, int(most).bit_length() - 1)
+    runs = alive.select(*PLACE, F.explode("sizes").alias("size"))
+    named = None
+    for k, level in enumerate(levels):
+        some = runs.where((F.col("size") >= 1 << k) & (F.col("size") < 2 << k)).join(level.withColumnRenamed("rank", "hi").hint("merge"), PLACE)
+        whole = some.where(F.col("size") == 1 << k).withColumn("lo", F.col("hi"))
+        end = level.select("doc_id", "crc", F.col("i").alias("to"), F.col("rank").alias("lo"))
+        part = some.where(F.col("size") > 1 << k).withColumn("to", F.col("i") + F.col("size") - (1 << k)).join(end.hint("merge"), ["doc_id", "crc", "to"]).drop("to")
+        for more in (whole, part)[: 2 if k else 1]:
+            named = more if named is None else named.unionByName(more)
+    named = materialize(named, "lines-runs")
+    key = ["size", "hi", "lo"]
+    late = named.join(_repeated(named, key).hint("merge"), key).where(F.struct(*PLACE) != F.col("first")).select(*PLACE, "size")
+
+    def spans(batches):
+        for b in batches:
+            doc, crc, i, size = (b.column(c).to_numpy() for c in (*PLACE, "size"))
+            yield from span_rows(doc, crc, i.astype(np.int64), i.astype(np.int64) + size)
+
+    return materialize(late.mapInArrow(spans, SPANS), "lines-late")
 
 
 def without_lines(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
@@ -129,7 +149,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min
 
     Lines are parted by newlines; lines without a word are ignored and stay. Null texts stay null and have no lines.
     Texts of repeated rows (same doc_id, same text) are one document, so they do not delete each other. A null doc_id
-    comes before all others. Existing columns of the three names are replaced. An empty table gives an empty result.
+    comes before all others. Very long texts are read whole. Existing columns of the three names are replaced, others keep
+    their values whatever their names. An empty table gives an empty result.
     """
     base = docs.drop("n_lines", "n_removed_lines", "n_line_runs")
     schema = T.StructType([*base.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed_lines", T.LongType()), T.StructField("n_line_runs", T.LongType())])
