@@ -1,7 +1,8 @@
 """WARC archives (ISO 28500) as a Spark data source, and page archives with revisit records.
 
-Reading plans one partition per large file and packs small ones together. Predicates on record type and on headers are
-pushed down: a record's header is parsed first, and the payload of a record that isn't wanted is neither read nor decoded.
+Reading packs small files together and splits large compressed ones at members. Predicates on record type and on headers
+are pushed down (headers that the caller names are columns of their own, since a lookup in a map is never offered to a
+Python source): a record's header is parsed first, and the payload of one that isn't wanted is neither read nor decoded.
 In archives of this writer each record is a gzip member that tells its length in the 'sl' extra field, so unwanted records
 are skipped by a seek; other compressed archives are inflated past them, uncompressed ones are skipped by their length.
 """
@@ -22,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, IsNotNull, StringStartsWith, WriterCommitMessage
 
 from strataloom.llm.blocks import slices
-from strataloom.session import scratch_path
+from strataloom.session import materialize, scratch_path
 
 SCHEMA = T.StructType([
     T.StructField("record_type", T.StringType()), T.StructField("record_id", T.StringType()), T.StructField("target_uri", T.StringType()),
@@ -131,10 +132,12 @@ class _Plain:
 class _Gzip:
     """Bytes of an archive of gzip members, one member to a record."""
 
-    def __init__(self, file):
-        self.file, self.rest = file, b""
+    def __init__(self, file, end: int | None = None):
+        self.file, self.rest, self.end = file, b"", end
 
     def header(self) -> bytes | None:
+        if self.end is not None and self.file.tell() - len(self.rest) >= self.end:
+            return None
         start = self.rest + self.file.read(max(0, 24 - len(self.rest)))
         if not start:
             return None
@@ -188,11 +191,41 @@ class _Gzip:
         self._finish()
 
 
-def records(file, wanted, decode: str):
-    """Rows of the records of an open archive that ``wanted(header)`` accepts; ``decode`` as for the data source."""
+def next_member(file, start: int, step: int = 1 << 20) -> int | None:
+    """Where the first gzip member at or after ``start`` that holds a record begins."""
+    file.seek(start)
+    base, held, more = start, b"", True
+    while more:
+        data = file.read(step)
+        held, more = held + data, bool(data)
+        at = held.find(b"\x1f\x8b\x08")
+        while at >= 0 and (len(held) - at >= 4096 or not more):
+            try:
+                if zlib.decompressobj(31).decompress(held[at : at + 4096], 5) == b"WARC/":
+                    return base + at
+            except zlib.error:
+                pass
+            at = held.find(b"\x1f\x8b\x08", at + 1)
+        keep = at if at >= 0 else max(0, len(held) - 2)
+        base, held = base + keep, held[keep:]
+    return None
+
+
+def records(file, wanted, decode: str, start: int = 0, end: int | None = None, columns: tuple[str, ...] = ()):
+    """Rows of the records of an open archive that ``wanted(header)`` accepts; ``decode`` as for the data source.
+
+    Of a compressed archive, only records whose member begins within [start, end).
+    """
     magic = file.read(2)
-    file.seek(0)
-    source = _Gzip(file) if magic == b"\x1f\x8b" else _Plain(file)
+    if magic == b"\x1f\x8b":
+        first = 0 if start == 0 else next_member(file, start)
+        if first is None or end is not None and first >= end:
+            return
+        file.seek(first)
+        source = _Gzip(file, end)
+    else:
+        file.seek(0)
+        source = _Plain(file)
     while (block := source.header()) is not None:
         header = parse_header(block)
         size = int(header.get("content-length", 0))
@@ -208,28 +241,41 @@ def records(file, wanted, decode: str):
             payload = data if decode == "payload" else None
         yield (
             header.get("warc-type"), uri(header.get("warc-record-id")), uri(header.get("warc-target-uri")), header.get("warc-date"), uri(header.get("warc-refers-to")),
-            header, None if data is None else len(data), digest, payload,
+            header, None if data is None else len(data), digest, payload, *(header.get(c) for c in columns),
         )
 
 
 # --- the data source ----------------------------------------------------------------------------------------------------
 
 
+def header_column(name: str) -> str:
+    """The column of a header that the caller names: header_ and the name, in lower case, dashes as underscores."""
+    return "header_" + name.lower().replace("-", "_")
+
+
 class WarcPartition(InputPartition):
-    def __init__(self, files: list[str]):
-        self.files = files
+    """Pieces (path, start, end) of archives."""
+
+    def __init__(self, pieces: list[tuple[str, int, int | None]]):
+        self.pieces = pieces
+
+
+def named_headers(options) -> tuple[str, ...]:
+    return tuple(c.strip().lower() for c in options.get("headers", "").split(",") if c.strip())
 
 
 class WarcReader(DataSourceReader):
     def __init__(self, options):
         self.path, self.decode = options["path"], options.get("decode", "payload")
-        self.partition_bytes = int(options.get("partitionBytes", 64 << 20))
+        self.partition_bytes, self.least = int(options.get("partitionBytes", 64 << 20)), int(options.get("minPartitions", 1))
+        self.split, self.columns = options.get("split", "true").lower() == "true", named_headers(options)
+        self.header_of = {**_HEADER_OF, **{header_column(c): c for c in self.columns}}
         self.tests: list[tuple[str, str, tuple]] = []
 
     def pushFilters(self, filters):
         for f in filters:
             at = f.attribute
-            name = _HEADER_OF.get(at[0]) if len(at) == 1 else at[1].lower() if at[0] == "headers" and len(at) == 2 else None
+            name = self.header_of.get(at[0]) if len(at) == 1 else None
             if name and isinstance(f, EqualTo):
                 self.tests.append((name, "in", (f.value,)))
             elif name and isinstance(f, In):
@@ -242,13 +288,18 @@ class WarcReader(DataSourceReader):
                 yield f
 
     def partitions(self):
+        files = list_files(self.path)
+        most = max(1, min(self.partition_bytes, max(sum(n for _, n in files) // max(1, self.least), 1 << 20)))
         held, size, out = [], 0, []
-        for path, n in list_files(self.path):
-            if held and size + n > self.partition_bytes:
-                out.append(WarcPartition(held))
-                held, size = [], 0
-            held.append(path)
-            size += n
+        for path, n in files:
+            cuts = [*range(0, n, self.partition_bytes)] if path.endswith(".gz") and n > self.partition_bytes and self.split else [0]
+            for a, e in zip(cuts, [*cuts[1:], None], strict=True):
+                k = (n if e is None else e) - a
+                if held and size + k > most:
+                    out.append(WarcPartition(held))
+                    held, size = [], 0
+                held.append((path, a, e))
+                size += k
         return [*out, WarcPartition(held)] if held else out or [WarcPartition([])]
 
     def wanted(self, header: dict[str, str]) -> bool:
@@ -261,9 +312,9 @@ class WarcReader(DataSourceReader):
 
     def read(self, partition):
         store, _ = file_system(self.path)
-        for path in partition.files:
+        for path, start, end in partition.pieces:
             with store.open_input_file(path) as file:
-                yield from records(file, self.wanted, self.decode)
+                yield from records(file, self.wanted, self.decode, start, end, self.columns)
 
 
 def member(header: bytes, block: bytes, level: int) -> bytes:
@@ -346,15 +397,16 @@ class WarcWriter(DataSourceArrowWriter):
 
 
 class WarcDataSource(DataSource):
-    """Format "warc". Options: path; decode = payload, digest (size and SHA-256 only) or none; partitionBytes; for writing
-    date, level and fileBytes."""
+    """Format "warc". Options: path; decode = payload, digest (size and SHA-256 only) or none; headers (names, parted by
+    commas, of headers to have as columns header_...); partitionBytes, minPartitions; split (true: compressed files over partitionBytes are split where a member begins with a
+    record; turn it off for archives that hold other .warc.gz files uncompressed); for writing date, level and fileBytes."""
 
     @classmethod
     def name(cls):
         return "warc"
 
     def schema(self):
-        return SCHEMA
+        return T.StructType([*SCHEMA.fields, *(T.StructField(header_column(c), T.StringType()) for c in named_headers(self.options))])
 
     def reader(self, schema):
         return WarcReader(self.options)
@@ -367,6 +419,7 @@ def read_warc(spark: SparkSession, path: str, decode: str = "payload", **options
     """Records at or below a path, with predicate pushdown turned on for Python data sources."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcDataSource)
+    options.setdefault("minPartitions", spark.sparkContext.defaultParallelism)
     return spark.read.format("warc").options(decode=decode, **options).load(path)
 
 
@@ -406,21 +459,28 @@ def archive_pages(pages: DataFrame, path: str, least: int = 100, **options) -> N
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type and refers_to of the pages in archives of archive_pages.
 
-    Sizes and digests of responses are those of the payloads as read; a revisit's are its header's, which the response's
-    digest must match for the record to mean anything. A response whose payload differs from its declared digest is an error.
+    Sizes and digests are those of payloads as read: a revisit's are its response's, found by the page and the digest that
+    its header names. A response whose payload differs from its declared digest is an error, as is a revisit of nothing.
     """
-    rows = read_warc(spark, path, decode="digest").where(F.col("record_type").isin("response", "revisit"))
+    rows = read_warc(spark, path, decode="digest", headers="warc-payload-digest").where(F.col("record_type").isin("response", "revisit"))
     page = lambda c: F.expr(f"try_cast(substr({c}, {len(_URN) + 1}) as bigint)")
-    declared = F.substring_index(F.col("headers")["warc-payload-digest"], ":", -1)
-    revisit = F.col("record_type") == "revisit"
-    digest = F.when(revisit, declared).when(declared == F.col("payload_sha256"), declared)
-    checked = F.when(digest.isNull(), F.raise_error(F.concat(F.lit("payload differs from its digest: "), F.col("record_id")))).otherwise(digest)
-    size = F.when(revisit, F.col("headers")["x-payload-length"].cast("long")).otherwise(F.col("payload_bytes"))
-    return rows.select(page("record_id").alias("page_id"), size.alias("payload_bytes"), checked.alias("payload_digest"), "record_type", page("refers_to").alias("refers_to"))
+    declared = F.substring_index(F.col("header_warc_payload_digest"), ":", -1).alias("declared")
+    rows = materialize(rows.select("record_type", "record_id", page("record_id").alias("page_id"), page("refers_to").alias("refers_to"), declared, "payload_bytes", "payload_sha256"), "warc-rows")
+    wrong = lambda what: F.raise_error(F.concat(F.lit(what), F.col("record_id")))
+    digest = F.when(F.col("declared").eqNullSafe(F.col("payload_sha256")), F.col("declared")).otherwise(wrong("payload differs from its digest: "))
+    responses = rows.where("record_type = 'response'").select("page_id", "payload_bytes", digest.alias("payload_digest"), "record_type", "refers_to")
+    known = rows.where("record_type = 'response'").groupBy(F.col("page_id").alias("r_id"), F.col("payload_sha256").alias("r_digest")).agg(F.max("payload_bytes").alias("r_bytes"))
+    again = rows.where("record_type = 'revisit'").join(known.hint("merge"), (F.col("refers_to") == F.col("r_id")) & (F.col("declared") == F.col("r_digest")), "left")
+    size = F.when(F.col("r_bytes").isNull(), wrong("revisit of no response: ")).otherwise(F.col("r_bytes"))
+    return responses.unionByName(again.select("page_id", size.alias("payload_bytes"), F.col("r_digest").alias("payload_digest"), "record_type", "refers_to"))
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
-    """Archive the pages in the shared folder and read the archives back."""
+    """Archive the pages in the shared folder and read the archives back.
+
+    Null html is an empty payload, empty and very long payloads are stored whole, an empty table gives an empty result, and
+    other columns than page_id, url and html are ignored, whatever their names.
+    """
     path = scratch_path(pages.sparkSession, "warc")
     archive_pages(pages, path)
     return read_pages(pages.sparkSession, path)
