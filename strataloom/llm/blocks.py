@@ -28,6 +28,14 @@ def unpack_columns(blob: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
+def fresh(name: str, columns) -> str:
+    """``name``, or with underscores after it, so that no column is called so in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of unsigned 64-bit values (the splitmix64 finalizer)."""
     with np.errstate(over="ignore"):

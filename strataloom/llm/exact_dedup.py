@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataloom.llm.blocks import BLOB, deal, gather, mix, pack_columns, runs, shard_of, slices, unpack_columns
+from strataloom.llm.blocks import BLOB, deal, fresh, gather, mix, pack_columns, runs, shard_of, slices, unpack_columns
 from strataloom.llm.repeats import SPANS, free_shuffles, keyed, order_runs, span_rows, union, volume, with_spans
 from strataloom.llm.suffix_array import permuted_lcp, suffix_array
 from strataloom.session import materialize
@@ -272,17 +272,18 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     """All rows and columns of ``docs``, with n_bytes, n_removed, n_spans, removed (start/end pairs) and kept (binary).
 
     Null texts count as empty; ids may be null and then come first; rows with the same doc_id and text are one document
-    and do not remove each other; existing columns of the new names are replaced; an empty table gives an empty result.
+    and do not remove each other; very long texts are read whole; existing columns of the new names are replaced, others
+    keep their values whatever their names; an empty table gives an empty result.
     """
     new = [("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("removed", T.ArrayType(T.ArrayType(T.LongType()))), ("kept", T.BinaryType())]
     base = docs.drop(*(n for n, _ in new))
     schema = T.StructType([*base.schema.fields, *(T.StructField(n, t) for n, t in new)])
-    columns, names = base.columns, schema.names
+    columns, names, spans_col = base.columns, schema.names, fresh("__spans", base.columns)
 
     def apply(batches):
         for b in slices(batches, text):
             out = []
-            for t, spans in zip(b.column(text).cast(pa.binary()).to_pylist(), b.column("__spans").to_pylist(), strict=True):
+            for t, spans in zip(b.column(text).cast(pa.binary()).to_pylist(), b.column(spans_col).to_pylist(), strict=True):
                 t = t or b""
                 gone, kept, at = union(spans), [], 0
                 for s, e in gone:
@@ -293,7 +294,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
             arrays = [pa.array(c, pa.int64()) for c in cols[:3]] + [pa.array([[list(x) for x in c] for c in cols[3]], pa.list_(pa.list_(pa.int64()))), pa.array(cols[4], pa.binary())]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), *arrays], names)
 
-    return with_spans(base, id_col, text, *later_bytes(base, id_col, text, length)).mapInArrow(apply, schema)
+    return with_spans(base, id_col, text, spans_col, *later_bytes(base, id_col, text, length)).mapInArrow(apply, schema)
 
 
 def digest(docs: DataFrame) -> DataFrame:

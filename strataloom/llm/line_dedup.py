@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataloom.llm.blocks import slices
+from strataloom.llm.blocks import fresh, slices
 from strataloom.llm.repeats import SPANS, keyed, span_rows, union, with_spans
 from strataloom.session import materialize
 
@@ -155,12 +155,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min
     base = docs.drop("n_lines", "n_removed_lines", "n_line_runs")
     schema = T.StructType([*base.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed_lines", T.LongType()), T.StructField("n_line_runs", T.LongType())])
 
-    columns, names = base.columns, schema.names
+    columns, names, spans_col = base.columns, schema.names, fresh("__spans", base.columns)
 
     def apply(batches):
         for b in slices(batches, text):
             texts, counts = [], []
-            for t, spans in zip(b.column(text).cast(pa.binary()).to_pylist(), b.column("__spans").to_pylist(), strict=True):
+            for t, spans in zip(b.column(text).cast(pa.binary()).to_pylist(), b.column(spans_col).to_pylist(), strict=True):
                 kept, gone, n = without_lines(t, union(spans)) if t is not None and spans else (t, 0, 0)
                 texts.append(kept)
                 counts.append((len(word_lines(t or b"")), gone, n))
@@ -168,7 +168,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min
             n = np.array(counts, np.int64).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([*cols, *(pa.array(n[:, k]) for k in range(3))], names)
 
-    return with_spans(base, id_col, text, later_lines(base, id_col, text, min_words)).mapInArrow(apply, schema)
+    return with_spans(base, id_col, text, spans_col, later_lines(base, id_col, text, min_words)).mapInArrow(apply, schema)
 
 
 def digest(docs: DataFrame) -> DataFrame:

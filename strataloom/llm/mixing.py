@@ -6,8 +6,9 @@ weight (water filling). A parent holds at most what its children can, so only a
 up to the parent's own siblings. Each leaf then takes whole epochs of its documents and, of the next epoch's seeded
 order, the prefix that reaches its budget (a document is taken while the tokens before it are fewer than what is left).
 
-The prefix is found without sorting a leaf: tokens are summed by leaf and by the first three hex digits of the order key,
-a running sum over those at most 4,096 rows names the one digit group the prefix ends in, and only that group is ordered.
+The prefix is found without sorting a leaf: tokens are summed by leaf and by the first two hex digits of the order key,
+and a running sum over those at most 256 rows names the one digit group the prefix ends in. Two more steps narrow it down
+in the same way, to one in 16 million of the leaf's keys, and only that group is ordered.
 """
 
 from __future__ import annotations
@@ -17,9 +18,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataloom.llm.blocks import fresh
 from strataloom.session import materialize
 
 LEVELS = ("domain", "lang", "source")
+DIGITS, STEPS = 2, 3  # hex digits to a step, and steps
 
 
 def word_count(text: str) -> Column:
@@ -75,41 +78,50 @@ def mix_sources(
     budget is ``budget`` tokens, or ``share`` of all tokens. Weights are by name for each level; names that are not listed
     weigh 1, and a weight of 0 takes nothing. Null and empty texts have no tokens and are taken where the order puts them
     within a prefix or whole epoch. Rows that repeat an id stay neighbours in every order and are taken one by one; a null
-    id is ordered as ''. Existing columns of the three names are replaced. An empty table gives an empty result.
+    id is ordered as ''. Very long texts count whole. Tokens are words unless ``tokens`` gives another count, such as a
+    column of token_counts. Existing columns of the three names are replaced, others stay whatever their names. An empty
+    table gives an empty result.
     """
     base = docs.drop("domain", "epoch", "n_tokens")
+    own = {x: fresh(f"__{x}", base.columns) for x in (*LEVELS, "id", "key", "whole", "digits", "left", "before")}
     count = word_count("text") if tokens is None else tokens
-    leaf = {"__domain": F.coalesce(domain, F.lit("")), "__lang": F.coalesce(F.col("lang"), F.lit("")), "__source": F.coalesce(F.col("source"), F.lit(""))}
+    leaf = {own["domain"]: F.coalesce(domain, F.lit("")), own["lang"]: F.coalesce(F.col("lang"), F.lit("")), own["source"]: F.coalesce(F.col("source"), F.lit(""))}
     ident = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
 
-    narrow = base.withColumns(leaf).select(*(F.col(f"__{x}").alias(x) for x in LEVELS), ident.alias("id"), count.alias("n"))
+    narrow = base.withColumns(leaf).select(*(F.col(own[x]).alias(x) for x in LEVELS), ident.alias("id"), count.alias("n"))
     narrow = materialize(narrow, "mixing")
     supply = narrow.groupBy(*LEVELS).agg(F.sum("n").alias("tokens"))
     goal = F.lit(budget).cast("double") if budget is not None else F.floor(F.sum("tokens") * share).cast("double")
     plan = leaf_budgets(supply, goal, weights or {}, max_epochs)
-    plan = plan.withColumn("whole", F.expr("mine div tokens")).withColumn("rest", F.expr("mine % tokens"))
-    plan = materialize(plan, "mixing-plan")
+    plan = materialize(plan.withColumn("whole", F.expr("mine div tokens")).withColumn("rest", F.expr("mine % tokens")), "mixing-plan")
 
     def key(epoch: Column, ident: Column) -> Column:
         return F.md5(F.concat_ws("|", F.lit(str(seed)), epoch.cast("string"), ident).cast("binary"))
 
-    groups = narrow.join(plan, [*LEVELS]).groupBy(*LEVELS, "rest", F.substring(key(F.col("whole"), F.col("id")), 1, 3).alias("digits")).agg(F.sum("n").alias("n"))
-    upto = F.sum("n").over(Window.partitionBy(*LEVELS).orderBy("digits").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ends = groups.withColumn("upto", upto).where((F.col("upto") >= F.col("rest")) & (F.col("rest") > 0)).groupBy(*LEVELS)
-    ends = ends.agg(F.min_by(F.struct("digits", (F.col("rest") - F.col("upto") + F.col("n")).alias("left")), "digits").alias("end"))
+    ends = plan.where("rest > 0").select(*LEVELS, "whole", F.lit("").alias("digits"), F.col("rest").alias("left"))
+    rows = narrow.join(ends.select(*LEVELS, "whole"), [*LEVELS]).select(*LEVELS, F.substring(key(F.col("whole"), F.col("id")), 1, DIGITS * STEPS).alias("key"), "n")
+    rows = materialize(rows, "mixing-keys")
+    for k in range(STEPS):  # the group that the prefix ends in, by a few more digits each time
+        inside = rows.join(ends, [*LEVELS]).where(F.startswith("key", "digits"))
+        groups = inside.groupBy(*LEVELS, "whole", "left", F.substring("key", 1, DIGITS * (k + 1)).alias("digits")).agg(F.sum("n").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy(*LEVELS).orderBy("digits").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        groups = groups.withColumn("upto", upto).where("upto >= left").groupBy(*LEVELS, "whole")
+        found = F.min_by(F.struct("digits", (F.col("left") - F.col("upto") + F.col("n")).alias("left")), "digits").alias("end")
+        ends = materialize(groups.agg(found).select(*LEVELS, "whole", "end.digits", "end.left"), "mixing-ends")
     # groups before the end are taken whole, and of the end group what still fits
-    cut = materialize(plan.join(ends, [*LEVELS], "left").select(*(F.col(x).alias(f"__{x}") for x in LEVELS), F.col("whole").alias("__whole"), F.col("end.digits").alias("__digits"), F.col("end.left").alias("__left")), "mixing-cut")
+    cut = plan.join(ends.select(*LEVELS, "digits", "left"), [*LEVELS], "left")
+    cut = materialize(cut.select(*(F.col(x).alias(own[x]) for x in LEVELS), F.col("whole").alias(own["whole"]), F.col("digits").alias(own["digits"]), F.col("left").alias(own["left"])), "mixing-cut")
 
-    joined = base.withColumns({**leaf, "__id": ident}).join(cut, [f"__{x}" for x in LEVELS])
-    joined = joined.withColumn("__key", key(F.col("__whole"), F.col("__id")))
-    digits = F.substring("__key", 1, 3)
-    top = F.col("__whole") - F.when(digits < F.col("__digits"), 0).otherwise(1)
+    joined = base.withColumns({**leaf, own["id"]: ident}).join(cut, [own[x] for x in LEVELS])
+    joined = joined.withColumn(own["key"], key(F.col(own["whole"]), F.col(own["id"])))
+    digits = F.substring(own["key"], 1, DIGITS * STEPS)
+    top = F.col(own["whole"]) - F.when(digits < F.col(own["digits"]), 0).otherwise(1)
     sure = joined.where(top >= 0).withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), top.cast("long"))))
-    edge = joined.where(digits == F.col("__digits")).withColumn("n_tokens", count)
-    order = Window.partitionBy(*(f"__{x}" for x in LEVELS)).orderBy("__key", "n_tokens", F.md5(F.coalesce("text", F.lit("")).cast("binary"))).rowsBetween(Window.unboundedPreceding, -1)
-    edge = edge.where(F.col("__left") > 0).withColumn("__before", F.coalesce(F.sum("n_tokens").over(order), F.lit(0))).where("__before < __left")
-    edge = edge.withColumn("epoch", F.col("__whole").cast("long"))
-    out = [*base.columns, F.col("__domain").alias("domain"), "epoch"]
+    edge = joined.where(digits == F.col(own["digits"])).withColumn("n_tokens", count)
+    order = Window.partitionBy(*(own[x] for x in LEVELS)).orderBy(own["key"], "n_tokens", F.md5(F.coalesce("text", F.lit("")).cast("binary"))).rowsBetween(Window.unboundedPreceding, -1)
+    edge = edge.where(F.col(own["left"]) > 0).withColumn(own["before"], F.coalesce(F.sum("n_tokens").over(order), F.lit(0))).where(F.col(own["before"]) < F.col(own["left"]))
+    edge = edge.withColumn("epoch", F.col(own["whole"]).cast("long"))
+    out = [*base.columns, F.col(own["domain"]).alias("domain"), "epoch"]
     return sure.withColumn("n_tokens", count).select(*out, "n_tokens").unionByName(edge.select(*out, "n_tokens"))
 
 

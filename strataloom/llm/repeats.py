@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataloom.llm.blocks import fresh
 from strataloom.session import bound_batches
 
 NO_ID = -(2**63)  # stands for a null doc_id; sorts first
@@ -91,14 +92,15 @@ def union(blobs: list[bytes] | None) -> list[tuple[int, int]]:
     return list(zip(pairs[at, 0].tolist(), reach[np.append(at[1:], len(pairs)) - 1].tolist(), strict=True))
 
 
-def with_spans(docs: DataFrame, id_col: str, text: str, *spans: DataFrame) -> DataFrame:
-    """All rows and columns of ``docs`` with an array column __spans of the document's lists of spans (null: none)."""
+def with_spans(docs: DataFrame, id_col: str, text: str, out: str, *spans: DataFrame) -> DataFrame:
+    """All rows and columns of ``docs`` with an array column ``out`` of the document's lists of spans (null: none)."""
+    d, c, key, crc = (fresh(n, [*docs.columns, out]) for n in ("__doc", "__crc", "__id", "__c"))
     found = spans[0]
     for more in spans[1:]:
         found = found.unionByName(more)
-    found = found.groupBy("doc_id", "crc").agg(F.collect_list("spans").alias("__spans"))
-    found = found.withColumnsRenamed({"doc_id": "__doc", "crc": "__crc"})
+    found = found.groupBy("doc_id", "crc").agg(F.collect_list("spans").alias(out))
+    found = found.withColumnsRenamed({"doc_id": d, "crc": c})
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    marked = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), "__c": F.crc32(body)})
+    marked = docs.withColumns({key: F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), crc: F.crc32(body)})
     # the same join at every size: a broadcast would only serve inputs with few repeats
-    return marked.join(found.hint("merge"), (F.col("__id") == F.col("__doc")) & (F.col("__c") == F.col("__crc")), "left").drop("__doc", "__crc", "__id", "__c")
+    return marked.join(found.hint("merge"), (F.col(key) == F.col(d)) & (F.col(crc) == F.col(c)), "left").drop(d, c, key, crc)

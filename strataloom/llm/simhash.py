@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataloom.llm.blocks import BLOB, deal, forest, gather, mix, pack_columns, runs, shard_of, slices, unpack_columns
+from strataloom.llm.blocks import BLOB, deal, forest, fresh, gather, mix, pack_columns, runs, shard_of, slices, unpack_columns
 from strataloom.operators.components import connected_components
 from strataloom.session import bound_batches, materialize
 
@@ -336,13 +336,14 @@ def one_of_each(
     words (null, empty, blank) link to nothing, so each of them stays. An empty table gives an empty result.
     """
     rows, sure = _copy_groups(docs, id_col, text, words, similarity, recall, band, per_shard)
+    a, b = fresh("__stays", docs.columns), fresh("__node", docs.columns)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
     first = rows.where("node is not null").groupBy("node").agg(F.min(place).alias("place"))
     part = materialize(connected_components(contracted(sure)), "copies-components").toDF("node", "component")
     stays = first.join(part, "node", "left").groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("place").alias("place"))
-    stays = materialize(stays.select(F.col("place.doc_id").alias("__stays"), F.col("place.node").alias("__node")), "copies-stay")
+    stays = materialize(stays.select(F.col("place.doc_id").alias(a), F.col("place.node").alias(b)), "copies-stay")
     worded = F.coalesce(F.col(text).cast("string").rlike("[^\\t-\\r ]"), F.lit(False))
-    kept = docs.where(worded).join(stays, F.col(id_col).eqNullSafe(F.col("__stays")) & (F.xxhash64(text) == F.col("__node")), "left_semi")
+    kept = docs.where(worded).join(stays, F.col(id_col).eqNullSafe(F.col(a)) & (F.xxhash64(text) == F.col(b)), "left_semi")
     return kept.unionByName(docs.where(~worded)).dropDuplicates([id_col, text])
 
 
