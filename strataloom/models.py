@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import threading
 import time
-from collections.abc import Callable, Iterator
+import urllib.request
+from collections.abc import Callable, Iterator, Mapping
 from typing import Protocol
 
 import pandas as pd
@@ -29,6 +31,51 @@ class Completer(Protocol):
     def complete(self, prompt: str) -> str: ...
 
 
+class RawCompleter(Completer, Protocol):
+    """A client that can also be asked without a reply schema; that is tried when the schema's call fails."""
+
+    def complete_raw(self, prompt: str) -> str: ...
+
+
+class TimedOut(Exception):
+    """A call that took longer than it may."""
+
+
+def within(seconds: float | None, call: Callable[[], str]) -> str:
+    """The call's reply, or TimedOut once ``seconds`` of wall-clock time are over, whatever the call is waiting for.
+
+    A call that is given up goes on in a thread of its own, which no longer matters to anyone and ends with the process.
+    """
+    if seconds is None:
+        return call()
+    got: dict[str, object] = {}
+
+    def run() -> None:
+        try:
+            got["reply"] = call()
+        except BaseException as e:  # handed on to the caller's thread
+            got["error"] = e
+
+    thread = threading.Thread(target=run, daemon=True)
+    thread.start()
+    thread.join(seconds)
+    if "error" in got:
+        raise got["error"]
+    if "reply" not in got:
+        raise TimedOut(f"no reply within {seconds} s")
+    return got["reply"]
+
+
+def complete_or_raw(client, prompt: str, seconds: float | None = None) -> str:
+    """The client's reply; if that call fails, its raw reply, if it has any. Each call has the whole time."""
+    try:
+        return within(seconds, lambda: client.complete(prompt))
+    except Exception:
+        if not hasattr(client, "complete_raw"):
+            raise
+        return within(seconds, lambda: client.complete_raw(prompt))
+
+
 class PermanentLimit(Exception):
     """A limit that waiting doesn't lift."""
 
@@ -75,13 +122,16 @@ def embed_missing(descriptions: DataFrame, client: Embedder, allowed, with_topic
     return descriptions.join(new, "id", "left").withColumn("embedding", F.coalesce("__new", "embedding")).drop("__new")
 
 
-def ask(rows: DataFrame, client: Completer, key: str, prompt: str, attempts: int = ATTEMPTS, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
-    """(key, reply, error, attempts) of a prompt per row. Partitions bound how many calls run at once."""
+def ask(rows: DataFrame, client: Completer, key: str, prompt: str, attempts: int = ATTEMPTS, sleep: Callable[[float], None] = time.sleep, seconds: float | None = None) -> DataFrame:
+    """(key, reply, error, attempts) of a prompt per row. Partitions bound how many calls run at once.
+
+    ``seconds`` bounds each call by the clock; a client with complete_raw is asked again that way when a call fails.
+    """
     kind = rows.schema[key].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            got = [with_retries(lambda p=p: client.complete(p), attempts, sleep) for p in f["prompt"]]
+            got = [with_retries(lambda p=p: complete_or_raw(client, p, seconds), attempts, sleep) for p in f["prompt"]]
             yield pd.DataFrame({key: f["key"], "reply": [g[0] for g in got], "error": [g[1] for g in got], "attempts": [g[2] for g in got]})
 
     return rows.select(F.col(key).alias("key"), F.col(prompt).alias("prompt")).mapInPandas(run, f"`{key}` {kind}, reply string, error string, attempts int")
@@ -128,6 +178,106 @@ def participants_block(participants):
     return F.array_join(F.transform(participants, one), "\n")
 
 
+# --- clients by name ----------------------------------------------------------------------------------------------------
+
+
+def endpoint(settings: Mapping[str, str], purpose: str) -> str | None:
+    """Where to call for a purpose: its own address, else the shared one, else none; without a slash at the end."""
+    found = settings.get(f"{purpose}_url") or settings.get("url")
+    return found.rstrip("/") if found else None
+
+
+class HttpClient:
+    """A service that takes and gives JSON over HTTP. Requests and replies are shaped by the functions given by name, so
+    that the client can be sent to executors."""
+
+    def __init__(self, kind: str, url: str, model: str, headers: Mapping[str, str] | None = None, seconds: float = 120.0):
+        self.kind, self.url, self.model, self.headers, self.seconds = kind, url, model, dict(headers or {}), seconds
+
+    def _post(self, path: str, body: dict) -> dict:
+        data = json.dumps(body).encode()
+        request = urllib.request.Request(self.url + path, data, {"Content-Type": "application/json", **self.headers})
+        with urllib.request.urlopen(request, timeout=self.seconds) as reply:
+            return json.loads(reply.read())
+
+    def complete(self, prompt: str) -> str:
+        return self._said(prompt, True)
+
+    def complete_raw(self, prompt: str) -> str:
+        return self._said(prompt, False)
+
+    def _said(self, prompt: str, as_json: bool) -> str:
+        if self.kind == "ollama":
+            got = self._post("/api/generate", {"model": self.model, "prompt": prompt, "stream": False, **({"format": "json"} if as_json else {})})
+            return got["response"]
+        if self.kind == "google":
+            body = {"contents": [{"parts": [{"text": prompt}]}], **({"generationConfig": {"responseMimeType": "application/json"}} if as_json else {})}
+            return self._post(f"/models/{self.model}:generateContent", body)["candidates"][0]["content"]["parts"][0]["text"]
+        body = {"model": self.model, "messages": [{"role": "user", "content": prompt}], **({"response_format": {"type": "json_object"}} if as_json else {})}
+        return self._post("/chat/completions", body)["choices"][0]["message"]["content"]
+
+    def embed(self, texts: list[str]) -> list[list[float]]:
+        if self.kind == "ollama":
+            return self._post("/api/embed", {"model": self.model, "input": texts})["embeddings"]
+        rows = self._post("/embeddings", {"model": self.model, "input": texts})["data"]
+        return [r["embedding"] for r in sorted(rows, key=lambda r: r["index"])]
+
+
+class LocalTransformer:
+    """A model of the transformers library, loaded once in each worker."""
+
+    def __init__(self, model: str):
+        self.model, self._loaded = model, {}
+
+    def __getstate__(self):
+        return {"model": self.model, "_loaded": {}}
+
+    def _of(self, task: str):
+        if task not in self._loaded:
+            from transformers import pipeline  # absent unless the user has it
+
+            self._loaded[task] = pipeline(task, model=self.model)
+        return self._loaded[task]
+
+    def complete(self, prompt: str) -> str:
+        return self._of("text-generation")(prompt, return_full_text=False)[0]["generated_text"]
+
+    def embed(self, texts: list[str]) -> list[list[float]]:
+        return [[sum(column) / len(column) for column in zip(*tokens[0], strict=True)] for tokens in self._of("feature-extraction")(texts)]
+
+
+#: Services by name, with the header that carries a key and the address if none is given.
+_SERVICES = {
+    "ollama": (None, "http://localhost:11434"), "openai": ("Authorization", "https://api.openai.com/v1"), "azure-openai": ("api-key", None),
+    "google": ("x-goog-api-key", "https://generativelanguage.googleapis.com/v1beta"),
+}
+_COMPLETERS, _EMBEDDERS = ("ollama", "openai", "azure-openai", "google", "trf"), ("ollama", "openai", "azure-openai", "trf")
+
+
+def _client(settings: Mapping[str, str], purpose: str, known: tuple[str, ...]):
+    name = (settings.get(f"{purpose}_provider") or settings.get("provider") or "").strip().lower()
+    model = settings.get(f"{purpose}_model") or settings.get("model")
+    if name not in known or not model:
+        return None
+    if name == "trf":
+        return LocalTransformer(model)
+    header, default = _SERVICES[name]
+    url, key = endpoint(settings, purpose) or default, settings.get(f"{purpose}_key") or settings.get("key")
+    if not url:
+        raise ValueError(f"{name} needs an address")
+    headers = {header: f"Bearer {key}" if header == "Authorization" else key} if header and key else {}
+    return HttpClient(name, url, model, headers)
+
+
+def completer(settings: Mapping[str, str], purpose: str = "llm") -> Completer | None:
+    """The client that settings (provider, model, url, key, each also with the purpose before it) name; None if unknown."""
+    return _client(settings, purpose, _COMPLETERS)
+
+
+def embedder(settings: Mapping[str, str], purpose: str = "embedding") -> Embedder | None:
+    return _client(settings, purpose, _EMBEDDERS)
+
+
 # --- stand-ins ----------------------------------------------------------------------------------------------------------
 
 

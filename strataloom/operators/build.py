@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from strataloom import models
 from strataloom.functions import text as tx
+from strataloom.operators import ledger
 from strataloom.operators import sanitize as sz
+from strataloom.session import materialize
 from strataloom.sources import chunks as ch
-from strataloom.sources.tables import keep_first, upsert
+from strataloom.sources.tables import SnapshotTable, keep_first, upsert
 
+RAW = f"doc_id string, document_version int, chunk_pos long, {models.GRAPH}"
 NODES = "label string, id string, props map<string,string>, created_at timestamp"
 EDGES = "src_label string, src string, type string, dst_label string, dst string, props map<string,string>"
 
@@ -75,3 +78,47 @@ def descriptions(nodes: DataFrame) -> DataFrame:
     """(id, source, topic, type, text) of stored description nodes."""
     p = F.col("props")
     return nodes.where("label = 'Description'").select("id", p["source_id"].alias("source"), p["topicName"].alias("topic"), p["typeName"].alias("type"), p["text"].alias("text"))
+
+
+def extract_resumable(
+    chunks: DataFrame, digests: DataFrame, raw: SnapshotTable, progress: SnapshotTable, client: models.Completer, now: Column, waves: int = 8, rebuild: bool = False, **options,
+) -> DataFrame:
+    """Extract the chunks that aren't done and commit them in ``waves``; returns the raw graphs of all chunks so far.
+
+    ``chunks``: filename, document_version, chunk_pos, chunk_key, eligible, text, source, source_kind; ``digests``: filename,
+    document_version, digest. A run that is broken off has lost its last wave only. Chunks that aren't eligible are marked
+    done first; of the others only those whose reply held a graph, and only once it is stored. Progress of a document whose
+    digest has changed doesn't count. Rules that depend on what came before (slots of sources, near-duplicate topics, first
+    metadata) are no state of their own here: they are computed from the stored raw graphs, so a resumed build gives what
+    an unbroken one gives. ``rebuild`` forgets all progress of these documents first.
+    """
+    if rebuild:
+        progress.publish(ledger.clear(progress.read(), digests))
+    keys = ["filename", "document_version"]
+    state = materialize(ledger.split_chunks(chunks, progress.read(), digests), "build-chunks")
+    fresh = state.groupBy(*keys).agg(F.bool_or(F.col("todo") == "done").alias("known")).where("not known").select(*keys)
+    stale = raw.read().withColumnRenamed("doc_id", "filename").join(fresh, keys, "left_semi")  # of a changed document, or none
+    if not stale.isEmpty():
+        raw.publish(raw.read().join(fresh.withColumnRenamed("filename", "doc_id"), ["doc_id", "document_version"], "left_anti"))
+
+    def mark(rows: DataFrame) -> None:
+        done = rows.join(digests.select(*keys, "digest"), keys).select(*keys, "digest", "chunk_key", now.alias("done_at"))
+        progress.publish(ledger.mark_done(progress.read(), done.dropDuplicates([*keys, "chunk_key"])))
+
+    mark(state.where("todo = 'skip'"))
+    todo = state.where("todo = 'extract'")
+    for k in range(waves):
+        some = todo.where(F.pmod(F.xxhash64(*keys, "chunk_key"), F.lit(waves)) == k)
+        if some.isEmpty():
+            continue
+        told = materialize(extract(some, client, **options).where("error is null"), "build-wave")
+        versions = some.select(F.col("filename").alias("doc_id"), "document_version", "chunk_pos", "chunk_key").distinct()
+        got = materialize(told.join(versions, ["doc_id", "chunk_pos"]), "build-wave")
+        raw.publish(upsert(raw.read(), got.select("doc_id", "document_version", "chunk_pos", "nodes", "relationships"), ["doc_id", "document_version", "chunk_pos"]))
+        mark(got.withColumnRenamed("doc_id", "filename"))
+    return raw.read()
+
+
+def has_source_counts(edges: DataFrame) -> DataFrame:
+    """(doc_id, src, n): sources linked so far by node of a document, which the cap on sources counts."""
+    return edges.where(F.lower("type") == "has_source").groupBy("doc_id", "src").agg(F.countDistinct("dst").cast("int").alias("n"))

@@ -39,6 +39,11 @@ def record(ledger: DataFrame, built: DataFrame) -> DataFrame:
     return upsert(ledger, built, ["doc_id"])
 
 
+def lookup(ledger: DataFrame, ids: DataFrame) -> DataFrame:
+    """The entries of some documents."""
+    return ledger.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
+
+
 def forget(ledger: DataFrame, ids: DataFrame) -> DataFrame:
     return ledger.join(ids.select("doc_id").distinct(), "doc_id", "left_anti")
 

@@ -30,19 +30,36 @@ def run_blocking(descriptions: DataFrame, table: SnapshotTable, now: Column, k:
     return blocking.stats(merged)
 
 
-def _pairs(rows: DataFrame, descriptions: DataFrame) -> DataFrame:
+def pair_texts(rows: DataFrame, descriptions: DataFrame) -> DataFrame:
     side = lambda s: descriptions.select(F.col("id").cast("string").alias(f"description_id_{s}"), F.col("text").alias(f"text_{s}"))
     named = rows.join(side("a"), "description_id_a", "left").join(side("b"), "description_id_b", "left")
     return named.withColumns({"source_a": F.col("source_id_a"), "source_b": F.col("source_id_b")})
 
 
-def run_gates(descriptions: DataFrame, table: SnapshotTable, client: models.Completer, model: str, now: Column, version: str = o.GATE_VERSION, **ask) -> DataFrame:
-    """Gate the stored candidates that need it; the model sees only pairs that no rule rejects and no stored verdict answers."""
+def run_gates(descriptions: DataFrame, table: SnapshotTable, client: models.Completer, model: str, now: Column, version: str = o.GATE_VERSION, flush: int | None = None, **ask) -> DataFrame:
+    """Gate the stored candidates that need it; the model sees only pairs that no rule rejects and no stored verdict answers.
+
+    With ``flush`` the model is asked for about so many pairs at a time and each such part is published, so that a run that
+    is broken off loses no more than one part; the rows of stored pairs are changed in place and never deleted.
+    """
     stored = table.read()
     keep = ["pair_key", "description_id_a", "description_id_b", "source_id_a", "source_id_b", "topic_a", "topic_b"]
-    ruled = materialize(gates.rule_gates(_pairs(gates.needs_gate(stored, version).select(*keep), descriptions)), "gates")
+    ruled = materialize(gates.rule_gates(pair_texts(gates.needs_gate(stored, version).select(*keep), descriptions)), "gates")
     key = gates.nli_key(F.col("description_id_a"), F.col("description_id_b"), F.col("text_a"), F.col("text_b"), model)
     open_ = gates.cached(ruled.where("reason is null").withColumn("nli_cache_key", key), stored)
+    open_ = materialize(open_, "gates-open")
+    parts = -(-open_.where("nli_label is null").count() // flush) if flush else 1
+    part = F.when(F.col("nli_label").isNull(), F.pmod(F.xxhash64("pair_key"), F.lit(max(parts, 1)))).otherwise(0)
+    open_ = open_.withColumn("part", part)
+    ruled = ruled.join(open_.select("pair_key", "part"), "pair_key", "left").withColumn("part", F.coalesce("part", F.lit(0)))
+    gated = None
+    for k in range(max(parts, 1)):
+        done = _publish_gated(table, open_.where(F.col("part") == k).drop("part"), ruled.where(F.col("part") == k).drop("part"), client, now, version, ask)
+        gated = done if gated is None else gated.unionByName(done)
+    return gates.stats(gated)
+
+
+def _publish_gated(table: SnapshotTable, open_: DataFrame, ruled: DataFrame, client: models.Completer, now: Column, version: str, ask: dict) -> DataFrame:
     misses = open_.where("nli_label is null").withColumn("prompt", models.nli_prompt(F.col("text_a"), F.col("text_b")))
     said = models.ask(misses, client, "pair_key", "prompt", **ask).withColumn("v", tx.salvage_json(F.col("reply"), _NLI))
     known = F.col("v.label").isin(*o.NLI_LABELS)
@@ -50,14 +67,15 @@ def run_gates(descriptions: DataFrame, table: SnapshotTable, client: models.Comp
     verdicts = materialize(fresh.unionByName(open_.where("nli_label is not null").select("pair_key", "nli_label", "nli_confidence")), "verdicts")
     gated = gates.with_verdicts(ruled, verdicts, version).join(open_.select("pair_key", "nli_cache_key"), "pair_key", "left")
     done = gated.select("pair_key", "gate_status", "gate_reason", "gate_version", now.alias("gate_checked_at"), "nli_label", "nli_confidence", "nli_cache_key")
-    table.publish(upsert(stored, done, ["pair_key"]))
-    return gates.stats(done)
+    done = materialize(done, "gated")
+    table.publish(upsert(table.read(), done, ["pair_key"]))
+    return done
 
 
 def run_supersession(descriptions: DataFrame, sources: DataFrame, table: SnapshotTable, edges: SnapshotTable, client: models.Completer, model: str, **ask) -> None:
     """Judge passed pairs of different years and write the edges of those that hold."""
     stored = table.read()
-    passed = _pairs(stored.where("gate_status = 'passed'"), descriptions).withColumns({"a": F.col("description_id_a"), "b": F.col("description_id_b")})
+    passed = pair_texts(stored.where("gate_status = 'passed'"), descriptions).withColumns({"a": F.col("description_id_a"), "b": F.col("description_id_b")})
     about = conflict.direction(passed, sources)
     text = lambda which: F.when(F.col(which) == F.col("a"), F.col("text_a")).otherwise(F.col("text_b"))
     year = lambda which: F.when(F.col(which) == F.col("a"), F.col("year_a")).otherwise(F.col("year_b")).cast("string")

@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from strataloom.plans import analysis_queries, build_queries, conflict_queries, ingest_queries  # noqa: F401  (they register themselves)
+from strataloom.plans import analysis_queries, build_queries, conflict_queries, ingest_queries, store_queries  # noqa: F401  (they register themselves)
 from strataloom.plans.registry import ORACLE, QUERIES  # noqa: F401

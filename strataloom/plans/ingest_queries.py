@@ -284,8 +284,8 @@ def stream_drain(spark, sf_dir):
 @query("select user_id::varchar as doc_id, event_type as sha256, count(*) > 0 as seen from events group by all")
 def stream_dedup(spark, sf_dir):
     at = scratch_path(spark, "dedup")
-    # one file in time order, so that nothing is late
-    table(spark, sf_dir, "events").select("ts", F.col("user_id").cast("string").alias("doc_id"), F.col("event_type").alias("sha256")).orderBy("ts").coalesce(1).write.parquet(f"{at}/in")
+    # the delay covers the whole table, so that no row is late in whatever order files are read
+    table(spark, sf_dir, "events").select("ts", F.col("user_id").cast("string").alias("doc_id"), F.col("event_type").alias("sha256")).write.parquet(f"{at}/in")
     stream = spark.readStream.schema("ts timestamp, doc_id string, sha256 string").parquet(f"{at}/in")
     kept = handoff.distinct_uploads(stream, "ts", "20000 days")
     kept.writeStream.option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).format("parquet").option("path", f"{at}/out").outputMode("append").start().awaitTermination()
