@@ -4,8 +4,10 @@ Removed is every byte covered by a ``length``-byte string that also starts at an
 doc_id, or same document and smaller start). Three steps, none of which sends the whole text's suffixes anywhere:
 
 1. Map. Each window of ``length`` bytes is owned by its leftmost gram of smallest hash, which depends on the window alone.
-   Neighbouring windows with one owner form a snippet, within which no two windows are equal. Only (owner, snippet hash, place) is dealt, by owner, so equal
-   windows meet in one shard; copies of a whole snippet within a batch are settled at once and never dealt.
+   Neighbouring windows with one owner form a snippet, within which no two windows are equal. Only (owner, snippet hash,
+   place) is dealt, by owner, so equal windows meet in one shard; copies of a whole snippet within a batch are settled at
+   once and never dealt. Owners that a sample finds common (a passage that a good share of all documents holds) would
+   overfill their shard: their windows are owned, each by itself, by their own hash. This moves work and changes no result.
 2. Shard. Copies of a whole snippet are later copies as they stand. Owners with several different snippets (the edges of
    repeated passages, mostly) need their bytes compared; those snippets are asked for.
 3. Compare. The asked-for snippets of a shard are one text, whose suffix array is made by induced sorting and cut where
@@ -19,6 +21,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,8 +79,11 @@ def _least(h: np.ndarray, width: int) -> np.ndarray:
     return h if size == width else np.minimum(h[: len(h) - (width - size)], h[width - size :])
 
 
-def snippets(text: np.ndarray, ends: np.ndarray, length: int, gram: int):
-    """(owner, hash, start, number of windows) of the snippets of documents that end at ``ends`` in one buffer."""
+def snippets(text: np.ndarray, ends: np.ndarray, length: int, gram: int, common: np.ndarray | None = None):
+    """(owner, hash, start, number of windows) of the snippets of documents that end at ``ends`` in one buffer.
+
+    Snippets of owners in ``common`` (ascending) come as single windows, owned by their hashes.
+    """
     n = len(text)
     empty = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     if n < length:
@@ -103,7 +109,16 @@ def snippets(text: np.ndarray, ends: np.ndarray, length: int, gram: int):
     stop = valid.copy()
     stop[:-1] &= ~valid[1:] | head[1:]
     size = np.flatnonzero(stop) + 1 - start
-    return grams[owner[start]], Rolling(text, 1).at(start, size + length - 1), start, size
+    own, body = grams[owner[start]], Rolling(text, 1)
+    if common is not None and len(common):
+        split = common[np.minimum(np.searchsorted(common, own), len(common) - 1)] == own
+        if split.any():
+            n = size[split]
+            each = np.repeat(start[split], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            window = Rolling(text, 0).at(each, length)
+            own = np.concatenate([own[~split], window])
+            start, size = np.concatenate([start[~split], each]), np.concatenate([size[~split], np.ones(len(each), np.int64)])
+    return own, body.at(start, size + length - 1), start, size
 
 
 def _buffers(batch, length: int):
@@ -136,18 +151,47 @@ def _place(ends, index, offset, start):
     return index[k], start - np.concatenate([[0], ends[:-1]])[k] + offset[k]
 
 
-def later_bytes(docs: DataFrame, id_col: str, text: str, length: int = 100, gram: int = 50, shard_bytes: int = 160_000_000, hot: int = 20_000) -> tuple[DataFrame, DataFrame]:
-    """Spans of bytes to remove from each document, in two parts."""
+def common_owners(base: DataFrame, length: int, gram: int, rows: int, least: int = 4, partitions: int = 64) -> np.ndarray:
+    """Owners with at least ``least`` snippets in a sample of some ``rows`` documents, ascending; bounded by the sample.
+
+    The sample is the head of some partitions, of which only that is read.
+    """
+    parts = base.rdd.getNumPartitions()
+    stride = max(1, -(-parts // partitions))
+    each = max(1, rows // -(-parts // stride))
+
+    def peek(batches):
+        if TaskContext.get().partitionId() % stride:
+            return
+        left, seen = each, []
+        for b in batches:
+            b = b.slice(0, left)
+            for buf, ends, _, _ in _buffers(b, length):
+                seen.append(np.unique(snippets(buf, ends, length, gram)[0]))
+            left -= len(b)
+            if left <= 0:
+                break
+        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(seen).tobytes() if seen else b""], pa.binary())], ["owners"])
+
+    got = [np.frombuffer(r.owners, np.uint64) for r in base.mapInArrow(peek, "owners binary").collect()]
+    own, n = np.unique(np.concatenate(got or [np.zeros(0, np.uint64)]), return_counts=True)
+    return own[n >= least]
+
+
+def later_bytes(docs: DataFrame, id_col: str, text: str, length: int = 100, gram: int = 50, shard_bytes: int = 160_000_000, hot: int = 20_000, sample: int = 8_192) -> tuple[DataFrame, DataFrame]:
+    """Spans of bytes to remove from each document, in two parts. ``sample`` bounds the documents looked at for common owners."""
     bytes_ = volume(docs, text)
     shards = max(1, -(-bytes_ * 16 // shard_bytes))
     base = keyed(docs, id_col, text)
+    rows = min(sample, docs.count() // 50)
+    common = common_owners(base, length, gram, rows) if rows >= 64 else np.zeros(0, np.uint64)
 
     def emit(batches):
         for b in slices(batches, "text"):
             ids, crcs = b.column("doc_id").to_numpy(), b.column("crc").to_numpy().astype(np.uint32)
             held, size = [], 0
             for buf, ends, index, offset in _buffers(b, length):
-                own, h, start, n = snippets(buf, ends, length, gram)
+                own, h, start, n = snippets(buf, ends, length, gram, common)
                 i, s = _place(ends, index, offset, start)
                 held.append((own, h, ids[i], crcs[i], s.astype(np.uint32), n.astype(np.int32)))
                 size += len(buf)

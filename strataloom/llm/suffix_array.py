@@ -1,33 +1,17 @@
-"""Suffix arrays by induced sorting (Nong, Zhang and Chan 2009), with numpy passes per bucket.
+"""Suffix arrays by induced sorting (Nong, Zhang and Chan 2009), linear in time at every level of the recursion.
 
-The induction scans are linear: each bucket's entries are taken as a block, the suffixes before them are split by type,
-and the block is appended to the heads or tails of their buckets by one stable sort on the bucket's letter. Leftmost
-smaller (LMS) substrings are named and sorted recursively; where the reduced alphabet is too large for bucket-wise
-passes, prefix doubling ends the recursion.
+Suffixes are classified, leftmost smaller (LMS) substrings are sorted by induction and named, the string of names is sorted
+by the same algorithm, and its order induces the whole array. The two scans of an induction take a letter's bucket as a
+block where letters are few, as in text: the suffixes before those of the block are split by type and appended to the
+heads or tails of their buckets by one stable sort on the letter. In strings of names buckets are too small for that, and
+the scans go suffix by suffix.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-_MOST_BUCKETS = 4096
-
-
-def _by_doubling(s: np.ndarray) -> np.ndarray:
-    """Suffix array of a string whose last letter is its unique smallest."""
-    n, h = len(s), 1
-    rank = np.unique(s, return_inverse=True)[1].astype(np.int64)
-    while True:
-        ahead = np.zeros(n, np.int64)
-        ahead[: n - h] = rank[h:] + 1
-        key = rank * (n + 1) + ahead
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        new = np.empty(n, np.int64)
-        new[order] = np.concatenate([[0], np.cumsum(sorted_key[1:] != sorted_key[:-1])])
-        rank, h = new, 2 * h
-        if rank[order[-1]] == n - 1 or h >= n:
-            return order
+_FEW = 1024  # letters, up to which a block per bucket is quicker
 
 
 def _types(s: np.ndarray) -> np.ndarray:
@@ -102,6 +86,32 @@ def _induce(s: np.ndarray, small: np.ndarray, starts: np.ndarray, lms: np.ndarra
     return sa
 
 
+def _induce_each(s: np.ndarray, small: np.ndarray, starts: np.ndarray, lms: np.ndarray) -> np.ndarray:
+    """The same by suffix."""
+    sa, letter, is_small = [-1] * len(s), s.tolist(), small.tolist()
+    tail = starts[1:].tolist()
+    for i in lms[::-1].tolist():
+        c = letter[i]
+        tail[c] -= 1
+        sa[tail[c]] = i
+    head = starts[:-1].tolist()
+    for at in sa:  # filled on the way: what is put lies ahead
+        i = at - 1
+        if i >= 0 and not is_small[i]:
+            c = letter[i]
+            sa[head[c]] = i
+            head[c] += 1
+    tail = starts[1:].tolist()
+    for j in range(len(sa) - 1, -1, -1):
+        i = sa[j] - 1
+        if i >= 0 and is_small[i]:
+            c = letter[i]
+            tail[c] -= 1
+            sa[tail[c]] = i
+    sa[0] = len(s) - 1
+    return np.array(sa, np.int64)
+
+
 def _name(s: np.ndarray, lms: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, int]:
     """Names of the LMS substrings in text order (equal substrings, equal names), and their number."""
     size = np.diff(np.append(lms, len(s)))
@@ -130,20 +140,19 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     k = int(s.max(initial=0)) + 1
     if n < 3:
         return np.arange(n - 1, -1, -1)
-    if k > _MOST_BUCKETS:
-        return _by_doubling(s)
-    s = s.astype(np.int16 if k < 2**15 else np.int32)
+    induce = _induce if k <= _FEW else _induce_each
+    s = s.astype(np.int16 if k < 2**15 else np.int32 if k < 2**31 else np.int64)
     small = _types(s)
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     starts = np.concatenate([[0], np.cumsum(np.bincount(s, minlength=k))])
-    sa = _induce(s, small, starts, lms)
+    sa = induce(s, small, starts, lms)
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
     order = sa[is_lms[sa]]
     names, distinct = _name(s, lms, order)
     if distinct < len(lms):
         order = lms[suffix_array(names)]
-    return _induce(s, small, starts, order)
+    return induce(s, small, starts, order)
 
 
 def _words(s: np.ndarray) -> np.ndarray:

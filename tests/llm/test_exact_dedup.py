@@ -49,6 +49,28 @@ def test_matches_brute_force(spark):
     assert {-1 if r.doc_id is None else r.doc_id: tuple(r)[1:] for r in got} == brute(rows, 100)
 
 
+def test_common_owners_come_as_windows(spark):
+    rnd = random.Random(3)
+    shared = "".join(rnd.choices("abcdefgh ", k=400))
+    rows = [(i, "".join(rnd.choices("uvwxyz ", k=60)) + shared[rnd.randint(0, 30) : 400 - rnd.randint(0, 200)] + "".join(rnd.choices("uvwxyz ", k=60))) for i in range(300)]
+    base = exact_dedup.keyed(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    common = exact_dedup.common_owners(base, 100, 50, 300)
+    assert len(common) > 0 and (np.diff(common.astype(np.float64)) > 0).all()
+    text, ends = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8), np.cumsum([len(t) for _, t in rows])
+    plain, split = exact_dedup.snippets(text, ends, 100, 50), exact_dedup.snippets(text, ends, 100, 50, common)
+    windows = lambda s: sorted(x for a, n in zip(s[2].tolist(), s[3].tolist()) for x in range(a, a + n))
+    assert windows(plain) == windows(split) and np.bincount(np.unique(split[0], return_inverse=True)[1]).max() <= 300
+    assert not np.isin(split[0][split[3] > 1], common).any()
+
+
+def test_common_owners_change_no_result(spark):
+    rows = [(k * 1000 + d if d is not None else None, t) for k in range(50) for d, t in texts()]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    a, b = ({(r.doc_id, r.crc, bytes(r.spans)) for part in exact_dedup.later_bytes(df, "doc_id", "text", sample=n) for r in part.collect()} for n in (0, 8192))
+    cover = lambda rows: {(d, c): exact_dedup.union([s for e, f, s in rows if (e, f) == (d, c)]) for d, c, _ in rows}
+    assert cover(a) == cover(b)
+
+
 def test_hot_owners_are_dealt_as_windows(spark):
     rows = texts()
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
@@ -104,3 +126,14 @@ def test_shards_without_questions(spark):
     rows = [(i, "copy " * 50 if i < 3 else f"{i} alone") for i in range(6)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: tuple(r)[1:] for r in exact_dedup.digest(df).collect()} == brute(rows, 100)
+
+
+def test_arrays_of_many_letters():
+    """Strings of names, whatever their alphabets, go through the same algorithm all the way down."""
+    rng = np.random.default_rng(6)
+    for n in (5, 40, 300, 3000):
+        for letters in (2, 30, 1500, 10**6):
+            s = np.append(rng.integers(1, letters + 1, n), 0)
+            s[n // 2 : n - n // 4] = s[: n - n // 4 - n // 2]
+            got = suffix_array(s).tolist()
+            assert got == sorted(range(len(s)), key=lambda k: s[k:].tolist())
