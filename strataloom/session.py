@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,9 +44,32 @@ def bound_batches(spark: SparkSession, most: int = 4 << 20) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
 
 
+_WRITTEN: list[str] = []
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: the lineage is cut and survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settle(spark: SparkSession, make: Callable[[], DataFrame], name: str = "stage") -> DataFrame:
+    """materialize(make()), and then delete whatever was materialized on the way there."""
+    before = len(_WRITTEN)
+    out = materialize(make(), name)
+    for path in _WRITTEN[before:-1]:
+        delete_path(spark, path)
+    del _WRITTEN[before:-1]
+    return out
+
+
+def release(spark: SparkSession, df: DataFrame) -> None:
+    """Delete the folder of a materialized frame that nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        known = [w for w in _WRITTEN if path.endswith(w.split("://", 1)[-1].rstrip("/"))]
+        for w in known:
+            delete_path(spark, w)
+            _WRITTEN.remove(w)
