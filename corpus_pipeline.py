@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataloom.llm import line_dedup, mixing, packing, quality, simhash
-from strataloom.session import materialize
+from strataloom.session import release, settle
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +63,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents. What a stage wrote on its way is deleted once its result is written, and its input too."""
+    docs = before = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = settle(spark, lambda stage=stage, docs=before: stage(spark, docs, sf_dir), f"pipeline-{name}")
+        release(spark, before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
