@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,10 +19,30 @@ from strataloom.llm.pieces import byte_pieces, count_cache, load, pack_table
 from strataloom.session import bound_batches
 
 
-def frequent_table(docs: DataFrame, text: str, tokenizer: str, table_size: int, sample_rows: int) -> bytes:
-    """Lengths of the most frequent pre-tokens of a bounded sample. It speeds counting up; counts never depend on it."""
+def frequent_table(docs: DataFrame, text: str, tokenizer: str, table_size: int, sample_rows: int, partitions: int = 256, most: int = 20_000) -> bytes:
+    """Lengths of the most frequent pre-tokens of a bounded sample. It speeds counting up; counts never depend on it.
+
+    The sample is taken from partitions all over the table, of which only the heads are read; texts over ``most`` bytes are
+    left out of it.
+    """
+    rows = docs.select(F.col(text).alias("text"))
+    parts = rows.rdd.getNumPartitions()
+    stride = max(1, -(-parts // partitions))
+    each = max(1, -(-sample_rows // max(1, -(-parts // stride))))
+
+    def peek(batches):
+        if TaskContext.get().partitionId() % stride:
+            return
+        left = each
+        for b in batches:
+            keep = [t for t in b.column("text").to_pylist() if t and len(t) <= most and len(t.encode()) <= most][:left]
+            left -= len(keep)
+            yield pa.RecordBatch.from_arrays([pa.array(keep, pa.string())], ["text"])
+            if left <= 0:
+                return
+
     seen: Counter = Counter()
-    for (t,) in docs.where(F.octet_length(text).between(1, 20_000)).select(text).limit(sample_rows).collect():
+    for (t,) in rows.mapInArrow(peek, "text string").collect():
         seen.update(byte_pieces(t))
     encode = load(tokenizer)
     return pack_table({p: len(encode(p)) for p, n in seen.most_common(table_size) if n > 1})
