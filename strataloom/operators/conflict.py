@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strataloom import ontology as o
 from strataloom.functions import text as tx
 from strataloom.operators.components import connected_components
+from strataloom.session import materialize
 
 VERDICT = (
     "resolution_type string, summary string, scope_conditions string, confidence double, evidence_used array<string>, "
@@ -53,39 +54,66 @@ def without_reverse(new: DataFrame, existing: DataFrame) -> DataFrame:
     return new.where("src <> dst").join(existing.select(F.col("dst").alias("src"), F.col("src").alias("dst")), ["src", "dst"], "left_anti")
 
 
-def _cliques(neighbours: dict) -> Iterator[list]:
-    """Maximal cliques of two or more (Bron and Kerbosch, with Tomita's pivot), without recursion."""
-    stack = [([], set(neighbours), set())]
+def _cliques(first, later: set, earlier: set, neighbours: dict) -> Iterator[list]:
+    """Maximal cliques of ``first`` with some of ``later`` (Bron and Kerbosch, with Tomita's pivot), without recursion.
+
+    Those that one of ``earlier`` would extend are left out. ``neighbours`` need not know edges within ``earlier``.
+    """
+    none: set = set()
+    stack = [([first], later, earlier)]
     while stack:
         clique, open_, done = stack.pop()
-        if not open_ and not done:
-            if len(clique) > 1:
+        if not open_:
+            if not done and len(clique) > 1:
                 yield sorted(clique)
             continue
-        pivot = max(open_ | done, key=lambda v: len(open_ & neighbours[v]))
-        for v in sorted(open_ - neighbours[pivot]):
-            stack.append(([*clique, v], open_ & neighbours[v], done & neighbours[v]))
+        pivot = max(open_ | done, key=lambda v: len(open_ & neighbours.get(v, none)))
+        for v in sorted(open_ - neighbours.get(pivot, none)):
+            stack.append(([*clique, v], open_ & neighbours.get(v, none), done & neighbours.get(v, none)))
             open_ = open_ - {v}
             done = done | {v}
 
 
-def maximal_cliques(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def maximal_cliques(pairs: DataFrame, a: str = "a", b: str = "b", per_task: int = 200_000) -> DataFrame:
     """(component, ids): every maximal clique of the pair graph, ids ascending.
 
-    Components are found by distributed contraction; a clique lies in one component, so each is listed by itself.
+    Nodes are ordered by degree (an approximation of the degeneracy order), and each lists the cliques of which it is the
+    first. For that it needs its neighbours and the edges between its later ones and any of them, which are the triangles
+    it is part of; a node has no more than sqrt(2 E) later neighbours, so no task holds a component.
     """
-    edges = pairs.select(F.col(a).cast("string").alias("src"), F.col(b).cast("string").alias("dst")).where("src <> dst").distinct()
+    low, high = (f(F.col(a).cast("string"), F.col(b).cast("string")) for f in (F.least, F.greatest))
+    edges = materialize(pairs.select(low.alias("src"), high.alias("dst")).where("src <> dst").distinct(), "cliques")
     part = connected_components(edges)
-    placed = edges.join(part.withColumnRenamed("id", "src"), "src")
-
-    def listed(p: pd.DataFrame) -> pd.DataFrame:
-        near: dict[str, set] = {}
-        for x, y in zip(p["src"], p["dst"], strict=True):
-            near.setdefault(x, set()).add(y)
-            near.setdefault(y, set()).add(x)
-        return pd.DataFrame({"component": p["component"].iloc[0], "ids": list(_cliques(near))})
-
-    return placed.groupBy("component").applyInPandas(listed, "component string, ids array<string>")
+    degree = edges.select(F.col("src").alias("id")).union(edges.select(F.col("dst").alias("id"))).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    placed = edges.join(degree.toDF("src", "n_src"), "src").join(degree.toDF("dst", "n_dst"), "dst")
+    one, two = F.struct(F.col("n_src").alias("n"), F.col("src").alias("id")), F.struct(F.col("n_dst").alias("n"), F.col("dst").alias("id"))
+    up = materialize(placed.select(F.least(one, two).alias("x"), F.greatest(one, two).alias("y")), "cliques")
+    wedges = up.join(up.withColumnRenamed("y", "z"), "x").where("y < z")
+    triangles = materialize(wedges.join(up.toDF("y", "z"), ["y", "z"]).select("x.id", F.col("y.id").alias("y"), F.col("z.id").alias("z")).toDF("x", "y", "z"), "cliques")
+    ids = up.select(F.col("x.id").alias("x"), F.col("y.id").alias("y"))
+    none = F.lit(None).cast("string")
+    near = (
+        ids.select(F.col("x").alias("v"), F.col("y").alias("p"), none.alias("q"), F.lit(0).alias("kind")).unionByName(ids.select(F.col("y").alias("v"), F.col("x").alias("p"), none.alias("q"), F.lit(1).alias("kind")))
+        .unionByName(triangles.select(F.col("x").alias("v"), F.col("y").alias("p"), F.col("z").alias("q"), F.lit(2).alias("kind"))).unionByName(triangles.select(F.col("y").alias("v"), F.col("x").alias("p"), F.col("z").alias("q"), F.lit(2).alias("kind")))
+    )
+    near = materialize(near, "cliques")
+    tasks = max(1, -(-near.count() // per_task))
+
+    def listed(frame: pd.DataFrame) -> pd.DataFrame:
+        of: dict[str, tuple[set, set, dict]] = {}
+        for v, p, q, kind in zip(frame["v"], frame["p"], frame["q"], frame["kind"], strict=True):
+            later, earlier, neighbours = of.setdefault(v, (set(), set(), {}))
+            if kind < 2:
+                (later, earlier)[kind].add(p)
+            else:
+                neighbours.setdefault(p, set()).add(q)
+                neighbours.setdefault(q, set()).add(p)
+        found = [(v, ids) for v, sets in of.items() for ids in _cliques(v, *sets)]
+        return pd.DataFrame({"id": [v for v, _ in found], "ids": [ids for _, ids in found]})
+
+    dealt = near.withColumn("task", F.pmod(F.xxhash64("v"), F.lit(tasks)))
+    found = dealt.groupBy("task").applyInPandas(listed, "id string, ids array<string>")
+    return found.join(part, "id").select("component", "ids")
 
 
 def clusters(cliques: DataFrame, most: int = o.CLUSTER_MOST) -> DataFrame:

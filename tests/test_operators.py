@@ -73,6 +73,55 @@ def test_communities_never_lower_modularity(spark):
         assert q > max(alone, 0.15)
 
 
+def best_modularity(pairs, directed):
+    """Over all partitions of a small graph."""
+    nodes = sorted({x for p in pairs for x in p})
+    arcs = set(pairs) if directed else set(pairs) | {(b, a) for a, b in pairs}
+    m, best = len(arcs), -1.0
+
+    def split(i, of, used):
+        nonlocal best
+        if i == len(nodes):
+            inside = sum(of[a] == of[b] for a, b in arcs)
+            spread = sum(sum(of[a] == c for a, _ in arcs) * sum(of[b] == c for _, b in arcs) for c in range(used))
+            best = max(best, inside / m - spread / m**2)
+            return
+        for c in range(used + 1):
+            split(i + 1, {**of, nodes[i]: c}, max(used, c + 1))
+
+    split(0, {}, 0)
+    return best
+
+
+def test_communities_against_all_partitions(spark):
+    """Small graphs on which every partition can be tried: both methods come within a twentieth of the best one."""
+    rnd = random.Random(2)
+    for n, p in ((7, 0.35), (8, 0.4)):
+        names = [f"n{i}" for i in range(n)]
+        pairs = [q for q in itertools.combinations(names, 2) if rnd.random() < p]
+        e = edges(spark, pairs)
+        for directed, find in ((False, analytics.louvain), (True, analytics.leiden)):
+            part = find(e)
+            got = by_id(part, "community")
+            assert all(got[c] == c and c == min(i for i in got if got[i] == c) for c in set(got.values()))
+            assert analytics.modularity(e, part, directed).first().modularity >= best_modularity(pairs, directed) - 0.05
+
+
+def test_leiden_communities_are_connected(spark):
+    rnd = random.Random(9)
+    pairs = list({(f"n{a:02}", f"n{b:02}") for a, b in ((rnd.randint(0, 40), rnd.randint(0, 40)) for _ in range(70)) if a != b})
+    got = by_id(analytics.leiden(edges(spark, pairs)), "community")
+    for c in set(got.values()):
+        inside = {i for i in got if got[i] == c}
+        seen, todo = {c}, [c]
+        while todo:
+            x = todo.pop()
+            near = {b for a, b in pairs if a == x} | {a for a, b in pairs if b == x}
+            todo += (near & inside) - seen
+            seen |= near & inside
+        assert seen == inside
+
+
 def brute_cliques(pairs):
     near = {}
     for a, b in pairs:
