@@ -93,7 +93,7 @@ def load(path: str):
 _WORKER: dict = {}
 
 
-def ids_cache(path: str, most: int = 700_000) -> _Cache:
+def ids_cache(path: str, most: int = 300_000) -> _Cache:
     """piece -> its ids as little-endian unsigned 32-bit bytes; one cache per worker process."""
     if ("ids", path) not in _WORKER:
         encode = load(path)

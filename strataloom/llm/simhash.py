@@ -97,7 +97,7 @@ def star_edges(z: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return centre[good], fp[good]
 
 
-def ball_links(distinct: DataFrame, variants_per_shard: int = 3_000_000) -> DataFrame:
+def ball_links(distinct: DataFrame, variants_per_shard: int = 1_000_000) -> DataFrame:
     """Links (src, dst) that connect all distinct fingerprints within three bits of each other.
 
     Every fingerprint emits its variants. One travels as the place of its fingerprint in a list and the code of its flips,
@@ -111,8 +111,8 @@ def ball_links(distinct: DataFrame, variants_per_shard: int = 3_000_000) -> Data
     def emit(batches):
         for b in batches:
             fps = b.column("fp").to_numpy().view(np.uint64)
-            for i in range(0, len(fps), 4096):
-                yield _dealt_variants(fps[i : i + 4096], shards)
+            for i in range(0, len(fps), 512):
+                yield _dealt_variants(fps[i : i + 512], shards)
 
     def link(blobs):
         z, code = (np.concatenate(c) for c in zip(*map(_shard_variants, blobs), strict=True))
@@ -257,7 +257,7 @@ def _candidate_links(texts: DataFrame, words: int, rows: int, bands: int, shards
     return gather(texts.mapInArrow(emit, BLOB), shards, link, "src long, dst long")
 
 
-def _verified(members: DataFrame, words: int, similarity: float, per_shard: int = 16 << 20) -> DataFrame:
+def _verified(members: DataFrame, words: int, similarity: float, per_shard: int = 8 << 20) -> DataFrame:
     """Links (src, dst) of ``members`` (node, component, text) whose shingle sets are as similar, within each component."""
     shards = max(1, -(-(members.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // per_shard))
 
