@@ -57,3 +57,36 @@ def test_dual_descent_separates():
     w = quality._descend(rows, np.ones(150), y, np.ones(200), 10, 0)
     margin = quality._margin_rows(rows, w[:-1]) + w[-1]
     assert (np.sign(margin) == y).all()
+
+
+def test_weights_are_those_of_a_plain_version(spark):
+    """Ratios, hinge-loss weights and scores computed anew, from sets and dictionaries."""
+    rnd = random.Random(5)
+    rows = [(i, " ".join(rnd.choices(["good", "fine", "well"] if i % 2 else ["bad", "junk", "$$"], k=rnd.randint(3, 9)) + ["the", "a"]), i % 2) for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    model = quality.fit(docs, labels, epochs=3)
+    seen = np.zeros(quality.BINS, bool)
+    teach = [(set(quality.features(t.encode(), seen).tolist()), y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    count = [{}, {}]
+    for x, y in teach:
+        for f in x:
+            count[y][f] = count[y].get(f, 0) + 1
+    total = [sum(c.values()) + 0.1 * quality.BINS for c in count]
+    ratio = {f: np.log((count[1].get(f, 0) + 0.1) / total[1]) - np.log((count[0].get(f, 0) + 0.1) / total[0]) for f in {*count[0], *count[1]}}
+    n = [sum(y == c for _, y in teach) for c in (0, 1)]
+    cost = {1: min(1.0, n[0] / n[1]), 0: min(1.0, n[1] / n[0])}
+    order = sorted(teach, key=lambda s: (s[1], np.array(sorted(s[0]), "<i4").tobytes()))
+    w, bias, alpha, rng = dict.fromkeys(ratio, 0.0), 0.0, [0.0] * len(order), np.random.default_rng(9)
+    for _ in range(3):
+        for i in rng.permutation(len(order)):
+            x, y = order[i]
+            sign, norm = (1 if y else -1), sum(ratio[f] ** 2 for f in x) / len(x) + 1
+            g = sign * (sum(w[f] * ratio[f] for f in x) / len(x) ** 0.5 + bias) - 1
+            new = min(max(alpha[i] - g / norm, 0.0), cost[y])
+            for f in x:
+                w[f] += (new - alpha[i]) * sign * ratio[f] / len(x) ** 0.5
+            bias += (new - alpha[i]) * sign
+            alpha[i] = new
+    assert abs(float(model["weight"][-1]) - bias) < 1e-5
+    assert max(abs(float(model["weight"][f]) - w[f] * ratio[f]) for f in w) < 1e-5

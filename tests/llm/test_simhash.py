@@ -113,3 +113,44 @@ def test_near_copies_at_the_similarity_meet(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in simhash.near_copies(df).collect()}
     assert sum(got[i] == got[j] for i, j in pairs) >= 0.99 * len(pairs)
+
+
+def jaccard(a, b):
+    x, y = ({tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_near_copies_at_and_below_the_threshold(spark):
+    """Pairs of known similarity: every one at 0.8 or more is linked and none below, against the exact value."""
+    rng = np.random.default_rng(12)
+    rows, want, at = [], {}, {}
+    for k in (1, 3, 5, 6, 7, 10, 14):
+        for _ in range(40):
+            a = [f"w{int(x)}" for x in rng.integers(0, 10**6, 300)]
+            b = list(a)
+            for i in range(k):
+                b[5 + i * (290 // k)] = "other"
+            j = jaccard(a, b)
+            want[len(rows)] = j >= 0.8
+            at.setdefault(round(j, 1), []).append(len(rows))
+            rows += [(len(rows), " ".join(a)), (len(rows) + 1, " ".join(b))]
+    assert {0.7, 0.8, 0.9} <= set(at)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(df).collect()}
+    assert {i: got[i + 1] == i for i in want} == want
+
+
+def test_near_copies_are_those_of_all_pairs(spark):
+    """Documents of the smallest tables against all pairs."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    sets = {}
+    for r in docs.collect():
+        h = simhash.shingle_hashes((r.text or "").encode(), 5)
+        sets[r.doc_id] = frozenset(h.tolist())
+    group = {d: d for d in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = {d: low if g == high else g for d, g in group.items()}
+    assert {r.doc_id: r.component_id for r in simhash.near_copies(docs).collect()} == group
