@@ -61,10 +61,10 @@ def top_neighbours(vectors: DataFrame, k: int, block_rows: int = 4096) -> DataFr
             for at in range(0, len(left), 512):
                 part = left.iloc[at : at + 512]
                 s = (1 + unit(part) @ y) / 2
-                for name, row in zip(part["id"], s, strict=True):
-                    # rounded, so that ties don't hang on the last bit
-                    order = np.lexsort((np.arange(len(row)), -np.round(row, 12)))[:k]
-                    out.append(pd.DataFrame({"a": name, "b": ids[order], "score": row[order]}))
+                # rounded, so that ties don't hang on the last bit; a stable sort leaves them in the order of ids
+                order = np.argsort(-np.round(s, 12), axis=1, kind="stable")[:, :k]
+                score = np.take_along_axis(s, order, 1)
+                out.append(pd.DataFrame({"a": np.repeat(part["id"].to_numpy(), order.shape[1]), "b": ids[order].ravel(), "score": score.ravel()}))
         return pd.concat(out) if out else pd.DataFrame({"a": [], "b": [], "score": []})
 
     kind = vectors.schema["id"].dataType.simpleString()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -516,3 +518,68 @@ def resumable_build(spark, sf_dir):
     build.extract_resumable(chunks, digests, raw, progress, models.ScriptedCompleter({"even ": graph, "odd ": "not asked again"}), _now(), waves=2)
     done = reports.progress_listing(progress.read()).select("filename", "n_done")
     return raw.read().where("nodes is not null").groupBy(F.col("doc_id").alias("filename")).agg(F.count(F.lit(1)).alias("n_graphs")).join(done, "filename")
+
+
+@query("select n_nationkey::bigint as id, case when n_nationkey % 2 = 1 then 'raw' else 'whole' end as reply, 1 as attempts from nation")
+def model_time_limits(spark, sf_dir):
+    """A call that takes too long is given up by the clock, and the client asked again without a reply schema."""
+
+    class Slow:
+        def complete(self, prompt):
+            if prompt.endswith("odd"):
+                time.sleep(60)
+            return "whole"
+
+        def complete_raw(self, prompt):
+            return "raw"
+
+    key = F.col("n_nationkey").cast("long")
+    asked = table(spark, sf_dir, "nation").select(key.alias("id"), F.concat(F.lit("nation "), F.when(key % 2 == 1, "odd").otherwise("even")).alias("prompt"))
+    return models.ask(asked, Slow(), "id", "prompt", seconds=0.3).select("id", "reply", "attempts")
+
+
+def _customers_as_claims(spark, sf_dir):
+    """Customers as claims of one topic; the nation is the source, and its number gives the year."""
+    c = table(spark, sf_dir, "customer")
+    claims = c.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_nationkey").cast("string").alias("source"), F.lit("robots").alias("topic"), F.lit(sorted(o.ALLOWED_TYPES)[0]).alias("type"), F.col("c_name").alias("text"))
+    sources = c.select(F.col("c_nationkey").cast("string").alias("id"), (F.col("c_nationkey") + 1990).cast("string").alias("year")).distinct()
+    pairs = c.select(F.col("c_custkey").alias("a"), F.col("c_nationkey").alias("s")).join(c.select((F.col("c_custkey") - 1).alias("a"), F.col("c_nationkey").alias("t")), "a")
+    one, two = F.col("a").cast("string"), (F.col("a") + 1).cast("string")
+    rows = pairs.select("a", tx.pair_key(one, two).alias("pair_key"), one.alias("description_id_a"), two.alias("description_id_b"), F.col("s").cast("string").alias("source_id_a"), F.col("t").cast("string").alias("source_id_b"), F.lit("passed").alias("gate_status"))
+    return claims, sources, rows
+
+
+@query("""
+select a.c_custkey::varchar as description_id_a, case when a.c_nationkey = b.c_nationkey then 'not_evaluable' else 'yes' end as supersession_result,
+  case when a.c_nationkey > b.c_nationkey then a.c_custkey when a.c_nationkey < b.c_nationkey then b.c_custkey end::varchar as newer from customer a join customer b on b.c_custkey = a.c_custkey + 1
+""")
+def stage_supersession(spark, sf_dir):
+    """The supersession stage over passed pairs: results in the pairs' table, edges from the newer claim."""
+    claims, sources, rows = _customers_as_claims(spark, sf_dir)
+    at = scratch_path(spark, "supersession")
+    t, edges = SnapshotTable(spark, f"{at}/pairs", blocking.CANDIDATES), SnapshotTable(spark, f"{at}/edges", stages.SUPERSEDES)
+    t.publish(widen(rows.drop("a"), t.schema))
+    client = models.ScriptedCompleter({"replace": {"decision": "yes", "basis": sorted(o.SUPERSESSION_BASES)[0], "reason": "r", "confidence": 0.9}})
+    stages.run_supersession(claims, sources, t, edges, client, "m")
+    e = edges.read()
+    newer = e.select(tx.pair_key(F.col("src"), F.col("dst")).alias("pair_key"), F.col("src").alias("newer"))
+    return t.read().join(newer, "pair_key", "left").select("description_id_a", "supersession_result", "newer")
+
+
+@query("""
+select case when k::varchar < (k + 1)::varchar then k || ',' || (k + 1) else (k + 1) || ',' || k end as ids, case when k % 2 = 0 then 'written' else 'not_a_conflict' end as outcome, k % 2 = 0 as has_node
+from (select a.c_custkey as k from customer a join customer b on b.c_custkey = a.c_custkey + 1 where a.c_custkey % 3 = 0)
+""")
+def stage_clusters(spark, sf_dir):
+    """The clustering stage: pairs that passed become clusters, verdicts records, and written ones contradiction nodes."""
+    claims, _, rows = _customers_as_claims(spark, sf_dir)
+    claims = claims.withColumn("text", F.concat("text", F.when(F.col("id").cast("long") % 6 == 0, " even case").otherwise("")))
+    at = scratch_path(spark, "clusters")
+    t = SnapshotTable(spark, f"{at}/pairs", blocking.CANDIDATES)
+    t.publish(widen(rows.where("a % 3 = 0").drop("a"), t.schema))
+    records, nodes, edges = (SnapshotTable(spark, f"{at}/{n}", s) for n, s in (("records", stages.CLUSTERS), ("nodes", stages.CONTRADICTIONS), ("claims", stages.CLAIM_EDGES)))
+    client = models.ScriptedCompleter({"even case": {"resolution_type": "known_controversy", "summary": "they differ", "confidence": 0.8, "evidence_used": [], "positions": []}, "oppose": {"resolution_type": "not_a_conflict", "confidence": 0.9}})
+    stages.run_clusters(claims, t, records, nodes, edges, client, "m", _now())
+    known = nodes.read().select(F.col("id").alias("contradiction_node_id"), F.lit(True).alias("known"))
+    out = records.read().join(known, "contradiction_node_id", "left")
+    return out.select(F.array_join("participant_ids", ",").alias("ids"), "outcome", F.coalesce("known", F.lit(False)).alias("has_node"))
