@@ -151,8 +151,18 @@ def _place(ends, index, offset, start):
     return index[k], start - np.concatenate([[0], ends[:-1]])[k] + offset[k]
 
 
-def common_owners(base: DataFrame, length: int, gram: int, rows: int, least: int = 4, partitions: int = 64) -> np.ndarray:
-    """Owners with at least ``least`` snippets in a sample of some ``rows`` documents, ascending; bounded by the sample.
+def _joined(doc, crc, start, size):
+    """Runs of windows (document, start, number), those that follow each other as one."""
+    order = np.lexsort((start, crc, doc))
+    doc, crc, start, size = doc[order], crc[order], start[order], size[order]
+    head = np.ones(len(doc), bool)
+    head[1:] = (doc[1:] != doc[:-1]) | (crc[1:] != crc[:-1]) | (start[1:] != start[:-1] + size[:-1])
+    at = np.flatnonzero(head)
+    return doc[at], crc[at], start[at], np.add.reduceat(size, at).astype(size.dtype)
+
+
+def common_owners(base: DataFrame, length: int, gram: int, rows: int, share: float = 1 / 64, partitions: int = 64) -> np.ndarray:
+    """Owners in at least a ``share`` of a sample of some ``rows`` documents (and in 16), ascending; bounded by the sample.
 
     The sample is the head of some partitions, of which only that is read.
     """
@@ -166,8 +176,9 @@ def common_owners(base: DataFrame, length: int, gram: int, rows: int, least: int
         left, seen = each, []
         for b in batches:
             b = b.slice(0, left)
-            for buf, ends, _, _ in _buffers(b, length):
-                seen.append(np.unique(snippets(buf, ends, length, gram)[0]))
+            for buf, ends, index, offset in _buffers(b, length):
+                own, _, start, _ = snippets(buf, ends, length, gram)
+                seen.append(np.unique(np.stack([own, _place(ends, index, offset, start)[0].astype(np.uint64)]), axis=1)[0])
             left -= len(b)
             if left <= 0:
                 break
@@ -175,7 +186,7 @@ def common_owners(base: DataFrame, length: int, gram: int, rows: int, least: int
 
     got = [np.frombuffer(r.owners, np.uint64) for r in base.mapInArrow(peek, "owners binary").collect()]
     own, n = np.unique(np.concatenate(got or [np.zeros(0, np.uint64)]), return_counts=True)
-    return own[n >= least]
+    return own[n >= max(16, rows * share)]
 
 
 def later_bytes(docs: DataFrame, id_col: str, text: str, length: int = 100, gram: int = 50, shard_bytes: int = 160_000_000, hot: int = 20_000, sample: int = 8_192) -> tuple[DataFrame, DataFrame]:
@@ -208,8 +219,9 @@ def later_bytes(docs: DataFrame, id_col: str, text: str, length: int = 100, gram
         keep = np.sort(order[~late & (head == np.arange(len(head)))])
         yield deal(shard_of(mix(cols[0][keep]), shards), [c[keep] for c in cols])  # owners are least hashes, so not spread by themselves
         if len(gone):  # settled: marked by a negative size
-            zero = np.zeros(len(gone), np.uint64)
-            yield deal(shard_of(mix(cols[2][gone].view(np.uint64)), shards), [zero, zero, *(c[gone] for c in cols[2:5]), -cols[5][gone]])
+            doc, crc, start, size = _joined(*(c[gone] for c in cols[2:6]))
+            zero = np.zeros(len(doc), np.uint64)
+            yield deal(shard_of(mix(doc.view(np.uint64)), shards), [zero, zero, doc, crc, start, -size])
 
     def decide(blobs):
         cols = [np.concatenate(c) for c in zip(*(unpack_columns(x, *_KINDS) for x in blobs), strict=True)]
