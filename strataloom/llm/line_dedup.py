@@ -126,7 +126,8 @@ def later_lines(docs: DataFrame, id_col: str, text: str, min_words: int) -> Data
             named = more if named is None else named.unionByName(more)
     named = materialize(named, "lines-runs")
     key = ["size", "hi", "lo"]
-    late = named.join(_repeated(named, key).hint("merge"), key).where(F.struct(*PLACE) != F.col("first")).select(*PLACE, "size")
+    groups = materialize(_repeated(named, key), "lines-intervals")  # written, so that a hot interval's side of the join can be split
+    late = named.join(groups.hint("merge"), key).where(F.struct(*PLACE) != F.col("first")).select(*PLACE, "size")
 
     def spans(batches):
         for b in batches:
