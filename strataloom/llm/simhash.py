@@ -242,8 +242,16 @@ def _candidate_links(texts: DataFrame, words: int, rows: int, bands: int, shards
                 z.append(key)
                 at.append(np.full(bands, node, np.int64))
             if z:
-                z = np.concatenate(z)
-                yield deal(shard_of(z, shards), [z, np.concatenate(at)])
+                z, at = np.concatenate(z), np.concatenate(at)
+                order = np.lexsort((at, z))
+                z, at = z[order], at[order]
+                start, n = runs(z)
+                first = np.repeat(at[start], n)
+                a, b = forest(first[first != at], at[first != at])
+                # of a band one node goes on, and what it stands for as links, each under a key of its own
+                link = mix(a.view(np.uint64) ^ mix(b.view(np.uint64)))
+                z, at = np.concatenate([z[start], link, link]), np.concatenate([at[start], a, b])
+                yield deal(shard_of(z, shards), [z, at])
 
     def link(blobs):
         z, node = (np.concatenate(c) for c in zip(*(unpack_columns(x, "u8", "i8") for x in blobs), strict=True))
