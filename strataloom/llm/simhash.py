@@ -97,7 +97,7 @@ def star_edges(z: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return centre[good], fp[good]
 
 
-def ball_links(distinct: DataFrame, variants_per_shard: int = 1_000_000) -> DataFrame:
+def ball_links(distinct: DataFrame, variants_per_shard: int = 3_000_000) -> DataFrame:
     """Links (src, dst) that connect all distinct fingerprints within three bits of each other.
 
     Every fingerprint emits its variants. One travels as the place of its fingerprint in a list and the code of its flips,
@@ -303,7 +303,7 @@ def _copy_groups(docs: DataFrame, id_col: str, text: str, words: int, similarity
     rows = materialize(docs.select(F.col(id_col).alias("doc_id"), F.when(worded, F.xxhash64(text)).alias("node")), "copies-rows")
     texts = docs.where(worded).select(F.xxhash64(text).alias("node"), F.col(text).cast("binary").alias("text"))
     prints = materialize(fingerprints(_once(texts), "node", "text", words).withColumnRenamed("doc_id", "node"), "copies-fingerprints")
-    ball = materialize(ball_links(prints.select("fp").distinct()), "copies-ball")
+    ball = materialize(ball_links(prints.select("fp").distinct(), 1_000_000), "copies-ball")
     first = prints.groupBy("fp").agg(F.min("node").alias("first"))
     same = prints.join(first, "fp").where("node <> first").select(F.col("node").alias("src"), F.col("first").alias("dst"))
     near = ball.join(first.toDF("src", "a"), "src").join(first.toDF("dst", "b"), "dst").select(F.col("a").alias("src"), F.col("b").alias("dst"))
