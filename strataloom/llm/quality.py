@@ -123,11 +123,12 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text: str, label:
     return docs.select(F.col(id_col).alias("id"), F.col(text).cast("binary").alias("text")).join(known, "id")
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality", fit_rows: int = 6_000, epochs: int = 12, cost: float = 1.0, smooth: float = 0.1) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality", fit_rows: int = 6_000, fit_bytes: int = 256 << 20, epochs: int = 12, cost: float = 1.0, smooth: float = 0.1) -> dict:
     """A model: weights of BINS indicators and the bias, and the slope and offset of the score.
 
     Log-count ratios are counted over all teaching rows; the hinge-loss model is fitted to ``fit_rows`` of them, taken
-    evenly by a hash of the id. ``smooth`` is added to every count; 0.1 has the least loss in cross-validation over teaching
+    evenly by a hash of the id, and to fewer of them, by a hash of their features, where those would fill over ``fit_bytes``
+    on the driver. ``smooth`` is added to every count; 0.1 has the least loss in cross-validation over teaching
     rows (of 1, 0.5, 0.25 and 0.1, at 305 and at 2,990 rows). Of several labels of an id the mean counts, a tie as 1. Without rows of both classes the model scores every text the share of label 1, or 0.5.
     """
     bound_batches(docs.sparkSession)
@@ -164,7 +165,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     kind = "y int, n long, blob binary"
     counted = materialize(rows.withColumn("take", F.xxhash64("id", F.lit(7)) % 1_000_000 < int(share * 2_000_000) - 1_000_000).select("text", "y", "take").mapInArrow(count, kind), "quality-counts")
     parts = counted.where("y < 2").repartition(16).mapInArrow(add, kind).repartition(2, "y").mapInArrow(add, kind).collect()
-    sample = counted.where("y >= 2").limit(2 * fit_rows).collect()
+    sampled = counted.where("y >= 2")
+    size = sampled.agg(F.sum(F.octet_length("blob"))).first()[0] or 0
+    if size > fit_bytes:
+        sampled = sampled.where(F.pmod(F.xxhash64("blob"), F.lit(1_000_000)) < int(fit_bytes / size * 1_000_000))
+    sample = sampled.limit(2 * fit_rows).collect()
     return model_of({r.y: (r.n, np.frombuffer(r.blob, np.uint64)) for r in parts}, [(r.y - 2, np.frombuffer(r.blob, "<i4")) for r in sample], epochs, cost, smooth)
 
 

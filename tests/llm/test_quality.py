@@ -90,3 +90,12 @@ def test_weights_are_those_of_a_plain_version(spark):
             alpha[i] = new
     assert abs(float(model["weight"][-1]) - bias) < 1e-5
     assert max(abs(float(model["weight"][f]) - w[f] * ratio[f]) for f in w) < 1e-5
+
+
+def test_what_is_fitted_is_bounded_in_bytes(spark, monkeypatch):
+    docs, labels = (spark.read.parquet(f"{DATA}/{n}.parquet") for n in ("documents", "labels"))
+    seen, real = [], quality.model_of
+    monkeypatch.setattr(quality, "model_of", lambda counts, sample, *more: seen.append(sum(x.nbytes for _, x in sample)) or real(counts, sample, *more))
+    quality.fit(docs, labels, fit_bytes=200_000)
+    quality.fit(docs, labels)
+    assert 0 < seen[0] < 300_000 < seen[1]
