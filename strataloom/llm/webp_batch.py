@@ -2,18 +2,18 @@
 
 Images of texts are small and many. Writing is free of loops over pixels. Reading is a loop over the pixels of the longest
 image in which each step decodes one pixel of every image (prefix codes, back-references and colour cache), then inverts
-transforms (the predictor again pixel by pixel, of all images together). What this reader doesn't take (several groups of
+transforms (the predictor by diagonals, of all images together). What this reader doesn't take (several groups of
 prefix codes, codes longer than ``BITS``) goes to the plain reader in ``webp``, which also checks this one in tests.
 
-Written are, by image: a palette where it pays, with pixels bundled if there are few colours; predictor and cross-colour
-transforms for one small image in ``SPATIAL_EVERY``, by its checksum, since they seldom pay on text but belong to the
-format; a colour cache where it is hit, and back-references of three pixels or more.
+Written are, by image: a palette where it pays, with pixels bundled if there are few colours; then, for every image but
+noise, of any size, predictor and cross-colour transforms, each tile by the modes and factors that cost it least; a colour
+cache where it is hit, and back-references of three pixels or more.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 
@@ -22,10 +22,11 @@ from strataloom.llm.webp import _HASH, _NEAR, _ORDER, CROSS_COLOUR, PALETTE, PRE
 BITS = 11  # longest prefix code written, and read in step
 CACHE_BITS = 7
 TILE = 5  # tiles of 32 pixels for modes and factors
-SPATIAL_EVERY, SPATIAL_ROWS = 8, 4
+PIECE = 1 << 16  # pixels whose modes are tried at once, to stay in a core's cache
 _U = np.uint64
 _NEAR_X, _NEAR_Y = np.array(_NEAR).T
 _ALPHABETS = (280, 256, 256, 256, 40)
+_OPAQUE = np.uint32(0xFF000000)
 
 # --- bits ---------------------------------------------------------------------------------------------------------------
 
@@ -67,8 +68,8 @@ def pack_bits(stream: np.ndarray, value: np.ndarray, size: np.ndarray, streams:
 
 def code_lengths(counts: np.ndarray, most: int = BITS) -> np.ndarray:
     """Lengths of optimal codes for each row of counts, kept within ``most`` by raising small counts. One symbol has length 1."""
-    out = np.zeros(counts.shape, np.uint8)
-    todo, floor = np.arange(len(counts)), 1
+    out = (counts > 0).astype(np.uint8)
+    todo, floor = np.flatnonzero(out.sum(axis=1, dtype=np.int64) > 1), 1
     while len(todo):
         c = np.where(counts[todo] > 0, np.maximum(counts[todo], floor), 0)
         got = _optimal(c)
@@ -120,15 +121,15 @@ def _optimal(counts: np.ndarray) -> np.ndarray:
 def canonical(lengths: np.ndarray) -> np.ndarray:
     """Codes by symbol, first bit lowest."""
     out = np.zeros(lengths.shape, np.uint32)
-    code = np.zeros(len(lengths), np.int64)
-    for n in range(1, int(lengths.max(initial=1)) + 1):
-        code <<= 1
-        mine = lengths == n
-        r, s = np.nonzero(mine)
-        if len(r):
-            many = mine.sum(axis=1)
-            out[r, s] = _reverse(code[r] + np.arange(len(r)) - (np.cumsum(many) - many)[r], n)
-            code += many
+    r, s = np.nonzero(lengths)
+    most = int(lengths.max(initial=1))
+    key = np.sort(r << 16 | lengths[r, s].astype(np.int64) << 12 | s)
+    r, n, s = key >> 16, key >> 12 & 0xF, key & 0xFFF
+    room = 1 << (most - n)  # of the longest codes' room, what a code takes
+    before = np.cumsum(room) - room
+    heads = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]])[: len(r)])
+    before -= np.repeat(before[heads], np.diff(np.append(heads, len(r))))
+    out[r, s] = _reverse(before >> (most - n), n)
     return out
 
 
@@ -243,7 +244,7 @@ def _cache_hits(px: np.ndarray, image: np.ndarray):
 
 
 def code_images(px: np.ndarray, sizes: np.ndarray, widths: np.ndarray, main: bool, used: Counter):
-    """(image, value, bits) tokens, in order, of images that lie one after the other in ``px``."""
+    """(image, step, value, bits) tokens, in order of steps (below 8), of images that lie one after the other in ``px``."""
     m = len(sizes)
     image = np.repeat(np.arange(m), sizes)
     start = np.cumsum(sizes) - sizes
@@ -280,8 +281,10 @@ def code_images(px: np.ndarray, sizes: np.ndarray, widths: np.ndarray, main: boo
         lengths = code_lengths(counts)
         row, value, size = _code_tokens(lengths, np.full(m, _ALPHABETS[k]) + (cached << CACHE_BITS if k == 0 else 0))
         tokens.append((row, np.full(len(row), k + 1), value, size))
-        bits = np.where((lengths > 0).sum(axis=1)[:, None] == 1, 0, lengths).astype(np.int64)
-        codes.append((np.where(bits > 0, canonical(lengths), 0).astype(_U) << _U(8) | bits.astype(_U)).ravel())
+        several = np.flatnonzero((lengths > 0).sum(axis=1) > 1)
+        both = np.zeros(lengths.shape, _U)
+        both[several] = canonical(lengths[several]).astype(_U) << _U(8) | lengths[several].astype(_U)
+        codes.append(both.ravel())
 
     def join(pairs):
         value, size = _U(0), np.int64(0)
@@ -305,9 +308,15 @@ def code_images(px: np.ndarray, sizes: np.ndarray, widths: np.ndarray, main: boo
     spot = np.concatenate(spots)
     order = _order(spot)
     tokens.append((image[spot[order]], np.full(len(spot), 6), np.concatenate(values)[order], np.concatenate(bits)[order]))
-    row, step, value, size = (np.concatenate(c) for c in zip(*tokens, strict=True))
-    order = _order(row * 8 + step)
-    return row[order], value[order], size[order]
+    return tuple(np.concatenate(c) for c in zip(*tokens, strict=True))
+
+
+def _constant(argb: int) -> tuple[int, int]:
+    """(value, bits) of an image within a stream, all pixels of which are alike: no cache, and a code of one symbol five times."""
+    value = 0
+    for k, shift in enumerate((8, 16, 0, 24)):
+        value |= (5 | (argb >> shift & 255) << 3) << 1 + 11 * k
+    return value | 5 << 45, 56
 
 
 # --- transforms ---------------------------------------------------------------------------------------------------------
@@ -322,26 +331,47 @@ def _whole(parts: np.ndarray) -> np.ndarray:
     return p[..., 0] << np.uint32(24) | p[..., 1] << np.uint32(16) | p[..., 2] << np.uint32(8) | p[..., 3]
 
 
-def predicted(mode: int, left, top, top_left, top_right):
-    """Predictions of many pixels, as (n, 4) components of their neighbours, by one mode."""
+def _average(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a & b) + (((a ^ b) & np.uint32(0xFEFEFEFE)) >> np.uint32(1))
+
+
+def _wide(argb: np.ndarray) -> np.ndarray:
+    return argb.view(np.uint8).astype(np.int16)
+
+
+def _clipped(v: np.ndarray) -> np.ndarray:
+    return np.clip(v, 0, 255).astype(np.uint8).view(np.uint32)
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sum of the differences of the components."""
+    a, b, low = a.view(np.uint8), b.view(np.uint8), np.uint32(0xFF00FF)
+    d = (np.maximum(a, b) - np.minimum(a, b)).view(np.uint32)
+    d = (d & low) + (d >> np.uint32(8) & low)
+    return (d & np.uint32(0xFFFF)) + (d >> np.uint32(16))
+
+
+def predicted(mode: int, near) -> np.ndarray:
+    """Predictions of many pixels by one mode; ``near`` gives their neighbours: left (0), top, top left and top right (3)."""
     if mode == 0 or mode > 13:
-        return np.broadcast_to(np.array([255, 0, 0, 0], np.int32), left.shape)
+        return np.full(len(near(0)), _OPAQUE)
     if mode < 5:
-        return (left, top, top_right, top_left)[mode - 1]
+        return near((0, 1, 3, 2)[mode - 1])
     if mode == 5:
-        return (((left + top_right) >> 1) + top) >> 1
+        return _average(_average(near(0), near(3)), near(1))
     if mode < 10:
-        a, b = ((left, top_left), (left, top), (top_left, top), (top, top_right))[mode - 6]
-        return (a + b) >> 1
+        a, b = ((0, 2), (0, 1), (2, 1), (1, 3))[mode - 6]
+        return _average(near(a), near(b))
     if mode == 10:
-        return (((left + top_left) >> 1) + ((top + top_right) >> 1)) >> 1
+        return _average(_average(near(0), near(2)), _average(near(1), near(3)))
+    left, top, top_left = near(0), near(1), near(2)
     if mode == 11:
-        by_left, by_top = np.abs(top - top_left).sum(axis=-1), np.abs(left - top_left).sum(axis=-1)
-        return np.where((by_left < by_top)[..., None], left, top)
+        return np.where(_apart(top, top_left) < _apart(left, top_left), left, top)
     if mode == 12:
-        return np.clip(left + top - top_left, 0, 255)
-    m = (left + top) >> 1
-    return np.clip(m + np.trunc((m - top_left) / 2).astype(np.int32), 0, 255)
+        return _clipped(_wide(left) + _wide(top) - _wide(top_left))
+    m = _wide(_average(left, top))
+    d = m - _wide(top_left)
+    return _clipped(m + ((d + (d < 0)) >> 1))
 
 
 def _cross(parts: np.ndarray, factors: np.ndarray, invert: bool) -> np.ndarray:
@@ -362,36 +392,95 @@ def _tiles(width: int, height: int, bits: int) -> tuple[np.ndarray, int]:
     return (y >> bits) * across + (x >> bits), across * down
 
 
-def _spatial(argb: np.ndarray, width: int, height: int):
-    """(residuals, modes, factors): of each tile the mode with the least residuals, then the least-squares factors."""
-    px, n = _parts(argb), len(argb)
-    at = np.arange(n)
-    back = lambda k: px[np.maximum(at - k, 0)]
-    left, top, top_left, top_right = back(1), back(width), back(width + 1), back(width - 1)
-    tile, tiles = _tiles(width, height, TILE)
-    rest, cost = [], []
+def _spatial(argb: np.ndarray, rows: np.ndarray, width: int):
+    """(residuals, modes, factors, tiles, noise) of opaque images of one width, one after the other.
+
+    All 14 modes are tried on every tile. A byte costs what it would by its image's counts under the one mode that suits the
+    whole image best; a tile takes the mode, then the least-squares factors or none, at the least cost. Sums are of integers,
+    so that an image's choices hang on nothing but the image. Noise: images that no mode makes smaller.
+    """
+    n, m = len(argb), len(rows)
+    sizes = rows * width
+    first, image = np.cumsum(sizes) - sizes, np.repeat(np.arange(m), sizes)
+    padded = np.concatenate([np.zeros(width + 1, np.uint32), argb])
+    place = np.arange(n)
+    row0 = place - first[image] < width
+    bound = row0 | (place % width == 0)
+    free, fixed = np.flatnonzero(~bound), np.flatnonzero(bound)  # fixed: by their place the same in every mode
+    guess = np.where(row0[fixed], padded[fixed + width], padded[fixed + 1])
+    guess[fixed == first[image[fixed]]] = _OPAQUE
+    less = lambda a, b: (a.view(np.uint8) - b.view(np.uint8)).view(np.uint32)
+    p = np.empty(n, np.uint32)
+    p[fixed] = less(argb[fixed], guess)
+
+    channel = np.array([[0], [256], [512]])
+    of, at = image[free] * 768 + channel, np.empty((14, 3, len(free)), np.int64)
+    count = lambda v: np.bincount(v.ravel(), minlength=768 * m).reshape(m, 768)
+    c = np.arange(int(sizes.max()) + 1)
+    log = np.rint(1024 * c * np.log2(np.maximum(c, 1))).astype(np.int64)
+    own, around = argb[free], [padded[free + k] for k in (width, 1, 0, 2)]
+    always = count(image[fixed] * 768 + channel + p[fixed].view(np.uint8).reshape(-1, 4).T[:3])
+    rest, counts, bits = [], [], []
     for mode in range(14):
-        guess = np.array(predicted(mode, left, top, top_left, top_right))
-        guess[:width], guess[::width] = left[:width], top[::width]
-        guess[0] = (255, 0, 0, 0)
-        rest.append((px - guess) & 255)
-        size = np.abs(rest[-1].astype(np.uint8).view(np.int8).astype(np.int64)).sum(axis=1)
-        cost.append(np.bincount(tile, weights=size, minlength=tiles))
-    modes = np.argmin(cost, axis=0)
-    p = np.stack(rest)[modes[tile], at]
-    s = (p & 255).astype(np.uint8).view(np.int8).astype(np.float64)
-    sums = lambda v: np.bincount(tile, weights=v, minlength=tiles)
+        rest.append(less(own, predicted(mode, around.__getitem__)))
+        np.add(rest[-1].view(np.uint8).reshape(-1, 4).T[:3], of, out=at[mode])
+        counts.append(always + count(at[mode]))
+        bits.append(3 * log[sizes] - log[counts[-1]].sum(axis=1))
+    best = np.argmin(bits, axis=0)
+    noise = np.min(bits, axis=0) > 1024 * 0.98 * 24 * sizes
+    usual = np.stack([counts[k][i] for i, k in enumerate(best.tolist())])
+    cost = np.rint(256 * np.log2((sizes[:, None] + 77) / (usual + 0.3))).astype(np.int32).ravel()
+
+    side = 1 << TILE
+    across, down = (width + side - 1) >> TILE, (rows + side - 1) >> TILE
+    tiles = down * across
+    y, x = np.divmod(place, width)
+    tile = (np.cumsum(tiles) - tiles)[image] + ((y - (first // width)[image]) >> TILE) * across + (x >> TILE)
+
+    def summer(tile):
+        """Sums by tile, where pixels of a tile are neighbours for the most part."""
+        runs = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]])[: len(tile)])
+        by, most = tile[runs], int(tiles.sum())
+        return lambda v: np.bincount(by, weights=np.add.reduceat(v, runs, dtype=np.int64), minlength=most) if len(v) else np.zeros(most)
+
+    searched, sums = summer(tile[free]), summer(tile)
+    modes = np.argmin([searched(cost[v[0]] + cost[v[1]] + cost[v[2]]) for v in at], axis=0)
+    p[free] = np.stack(rest)[modes[tile[free]], np.arange(len(free))]
+
+    blue, green, red = (np.ascontiguousarray(v).astype(np.int32) for v in p.view(np.int8).reshape(n, 4).T[:3])
     fit = lambda x, y: np.clip(np.round(32 * sums(x * y) / np.maximum(sums(x * x), 1)), -128, 127).astype(np.int32)
-    factors = np.zeros((tiles, 4), np.int32)
-    factors[:, 0], factors[:, 3], factors[:, 2] = 255, fit(s[:, 2], s[:, 1]), fit(s[:, 2], s[:, 3])
-    left_blue = s[:, 3] - (factors[:, 2][tile] * s[:, 2].astype(np.int32) >> 5)
-    factors[:, 1] = fit(s[:, 1], left_blue)
-    return _whole(_cross(p, factors[tile], False)), modes, _whole(factors)
+    price = lambda v, k: sums(cost[image * 768 + 256 * k + (v & 255)])
+    green_red, green_blue = fit(green, red), fit(green, blue)
+    by_green = blue - (green_blue[tile] * green >> 5)
+    red_blue = fit(red, ((by_green + 128) & 255) - 128)
+    less_red, less_blue = red - (green_red[tile] * green >> 5), by_green - (red_blue[tile] * red >> 5)
+    green_red *= price(less_red, 2) < price(red, 2)
+    pays = price(less_blue, 0) < price(blue, 0)
+    green_blue, red_blue = green_blue * pays, red_blue * pays
+    factors = np.stack([np.full(len(modes), 255, np.int32), red_blue, green_blue, green_red], axis=1)
+    spot = np.flatnonzero(factors[:, 1:].any(axis=1)[tile])
+    p[spot] = _whole(_cross(_parts(p[spot]), factors[tile[spot]], False))
+    return p, modes, _whole(factors), tiles, noise
 
 
 # --- writing streams ----------------------------------------------------------------------------------------------------
 
 
+def _pieces(sizes: list[int], widths: list[int]):
+    """Images of one width, by number, of about PIECE pixels in sum."""
+    for w in sorted(set(widths)):
+        held, size = [], 0
+        for f in range(len(sizes)):
+            if widths[f] == w:
+                held.append(f)
+                size += sizes[f]
+                if size >= PIECE:
+                    yield held
+                    held, size = [], 0
+        if held:
+            yield held
+
+
 def encode_streams(images: list[np.ndarray], width: int, used: Counter | None = None) -> list[bytes]:
     """Lossless streams of opaque images of one width, given as (rows x width, 3) samples."""
     used = Counter() if used is None else used
@@ -402,14 +491,7 @@ def encode_streams(images: list[np.ndarray], width: int, used: Counter | None =
         rows, wide = len(argb) // width, width
         head.append((f, 0, 0x2F | (width - 1) << 8 | (rows - 1) << 22, 40))
         colours = np.unique(argb)
-        if rows <= SPATIAL_ROWS and zlib.crc32(argb.tobytes()) % SPATIAL_EVERY == 0:
-            argb, modes, factors = _spatial(argb, width, rows)
-            used.update(predictor=1, cross_colour=1, **{f"mode_{k}": 1 for k in set(modes.tolist())})
-            across = (width + (1 << TILE) - 1) >> TILE
-            for k, kind, sub in ((1, PREDICTOR, np.uint32(0xFF000000) | modes.astype(np.uint32) << np.uint32(8)), (3, CROSS_COLOUR, factors)):
-                head.append((f, k, 1 | kind << 1 | (TILE - 2) << 3, 6))
-                subs.append((f, k + 1, sub, across))
-        elif len(colours) <= 256 and 2 * len(colours) <= len(argb):
+        if len(colours) <= 256 and 2 * len(colours) <= len(argb):
             index = np.searchsorted(colours, argb)
             shrink = _palette_bits(len(colours))
             used.update(palette=1, bundled=int(shrink > 0))
@@ -422,21 +504,36 @@ def encode_streams(images: list[np.ndarray], width: int, used: Counter | None =
             padded[:, :width] = index.reshape(rows, width)
             each = padded.reshape(rows, wide, 1 << shrink) << (np.arange(1 << shrink, dtype=np.uint32) * np.uint32(8 >> shrink))
             argb = np.bitwise_or.reduce(each, axis=2).ravel() << np.uint32(8) | np.uint32(0xFF000000)
-        else:
-            used.update(plain=1)
-        head.append((f, 5, 0, 1))
+        head.append((f, 7, 0, 1))
         mains.append(argb)
         sizes.append(len(argb))
         widths.append(wide)
-    tokens = [tuple(np.array(c, t) for c, t in zip(zip(*head, strict=True), (np.int64, np.int64, _U, np.int64), strict=True))]
-    for parts, main in ((subs, False), ([(f, 6, a, w) for f, (a, w) in enumerate(zip(mains, widths, strict=True))], True)):
+    for these in _pieces(sizes, widths):
+        wide, each = widths[these[0]], np.array([sizes[f] for f in these])
+        rest, modes, factors, tiles, noise = _spatial(np.concatenate([mains[f] for f in these]), each // wide, wide)
+        ends, tile_ends = np.cumsum(each).tolist(), np.cumsum(tiles).tolist()
+        for f, n, e, t, te, plain in zip(these, each.tolist(), ends, tiles.tolist(), tile_ends, noise.tolist(), strict=True):
+            if plain:
+                used.update(plain=1)
+                continue
+            mains[f], mine, by = rest[e - n : e], modes[te - t : te], factors[te - t : te]
+            used.update(predictor=1, cross_colour=1, factored=int((by != _OPAQUE).any()), **{f"mode_{k}": 1 for k in set(mine.tolist())})
+            for k, kind, sub in ((3, PREDICTOR, _OPAQUE | mine.astype(np.uint32) << np.uint32(8)), (5, CROSS_COLOUR, by)):
+                head.append((f, k, 1 | kind << 1 | (TILE - 2) << 3, 6))
+                if (sub == sub[0]).all():
+                    head.append((f, k + 1, *_constant(int(sub[0]))))
+                else:
+                    subs.append((f, k + 1, sub, (wide + (1 << TILE) - 1) >> TILE))
+    frame, step, value, size = (np.array(c, t) for c, t in zip(zip(*head, strict=True), (np.int64, np.int64, _U, np.int64), strict=True))
+    tokens = [(frame * 128 + step * 8, value, size)]
+    for parts, main in ((subs, False), ([(f, 8, a, w) for f, (a, w) in enumerate(zip(mains, widths, strict=True))], True)):
         if parts:
-            frame, step = np.array([p[0] for p in parts]), np.array([p[1] for p in parts])
-            row, value, size = code_images(np.concatenate([p[2] for p in parts]).astype(np.uint32), np.array([len(p[2]) for p in parts]), np.array([p[3] for p in parts]), main, used)
-            tokens.append((frame[row], step[row], value, size))
-    frame, step, value, size = (np.concatenate(c) for c in zip(*tokens, strict=True))
-    order = _order(frame * 8 + step)
-    return pack_bits(frame[order], value[order], size[order], len(images))
+            place = np.array([p[0] * 128 + p[1] * 8 for p in parts])
+            row, step, value, size = code_images(np.concatenate([p[2] for p in parts]).astype(np.uint32), np.array([len(p[2]) for p in parts]), np.array([p[3] for p in parts]), main, used)
+            tokens.append((place[row] + step, value, size))
+    key, value, size = (np.concatenate(c) for c in zip(*tokens, strict=True))
+    order = _order(key)
+    return pack_bits(key[order] >> 7, value[order], size[order], len(images))
 
 
 # --- reading streams ----------------------------------------------------------------------------------------------------
@@ -563,6 +660,7 @@ def _read_images(b: _Batch, who: np.ndarray, widths: np.ndarray, heights: np.nda
         rows = np.arange(len(who)) << bits
         flat.append((_tables(lengths, BITS if (lengths > BITS).any() else bits, who).ravel(), rows, _U((1 << bits) - 1)))
     green, red, blue, alpha, far = flat
+    clear = alpha[0][alpha[1]] >> 4 if not (alpha[0] & 15).any() else None  # one alpha to an image: no bits
     n, most = len(who), int(total[0])
     at, base = b.at[who], np.cumsum(total) - total
     out = np.zeros(int(total.sum()), np.uint32)
@@ -614,7 +712,10 @@ def _read_images(b: _Batch, who: np.ndarray, widths: np.ndarray, heights: np.nda
             if len(d):
                 r1, w, p = next_symbol(red, d, w, p)
                 b1, w, p = next_symbol(blue, d, w, p)
-                a1, w, p = next_symbol(alpha, d, w, p)
+                if clear is None:
+                    a1, w, p = next_symbol(alpha, d, w, p)
+                else:
+                    a1 = clear[d].astype(np.int64)
                 at[d] = p
                 out[base[d] + i] = (a1 << 24 | r1 << 16 | s << 8 | b1).astype(np.uint32)
         if copying:
@@ -643,33 +744,42 @@ def _read_span(prefix: np.ndarray, w: np.ndarray, p: np.ndarray):
     return v, w >> extra.astype(_U), p + extra
 
 
+@lru_cache(64)
+def _diagonals(width: int, height: int, bits: int):
+    """By pixel: its tile, the mode its place demands (-1: none) and its turn, after those of all its neighbours."""
+    y, x = np.divmod(np.arange(width * height), width)
+    fixed = np.where(y == 0, np.where(x == 0, 0, 1), np.where(x == 0, 2, -1))
+    return _tiles(width, height, bits)[0], fixed, x + 2 * y + 1
+
+
 def _unpredict(images: list[tuple[np.ndarray, int, int, np.ndarray, int]]) -> list[np.ndarray]:
-    """Images from (residuals, width, height, modes, tile bits), one pixel of each at a time."""
-    images_at = sorted(range(len(images)), key=lambda k: -len(images[k][0]))
-    total = np.array([len(images[k][0]) for k in images_at])
-    base, most = np.cumsum(total) - total, int(total[0])
-    res = np.concatenate([_parts(images[k][0]) for k in images_at])
-    out = np.zeros_like(res)
-    width = np.array([images[k][1] for k in images_at])
-    mode = np.concatenate([images[k][3][_tiles(images[k][1], images[k][2], images[k][4])[0]] for k in images_at])
-    alive = np.searchsorted(-total, -np.arange(most), "left")
-    for i in range(most):
-        a = alive[i]
-        spot, w = base[:a] + i, width[:a]
-        m = mode[spot].copy()
-        m[(i < w)] = 1
-        m[(i % w == 0)] = 2
-        if i == 0:
-            m[:] = 0
-        near = [out[np.maximum(spot - k, base[:a])] for k in (1, w, w + 1, w - 1)]
-        guess = np.empty((a, 4), np.int32)
-        for k in np.unique(m).tolist():
-            j = np.flatnonzero(m == k)
-            guess[j] = predicted(k, *(x[j] for x in near))
-        out[spot] = (res[spot] + guess) & 255
-    whole, result = _whole(out), [None] * len(images)
-    for k, s, n in zip(images_at, base.tolist(), total.tolist(), strict=True):
-        result[k] = whole[s : s + n]
+    """Images from (residuals, width, height, modes, tile bits), one diagonal of all of them at a time, each mode at once."""
+    alike = {}
+    for k, (_, width, height, _, bits) in enumerate(images):
+        alike.setdefault((width, height, bits), []).append(k)
+    keys, widths = [], []
+    for (width, height, bits), who in alike.items():
+        tile, fixed, turn = _diagonals(width, height, bits)
+        mode = np.stack([images[k][3] for k in who])[:, tile]
+        mode = np.where(fixed >= 0, fixed, np.where(mode > 13, 0, mode))
+        keys.append(np.where(mode > 0, turn * 16 + mode, 0).ravel())  # without neighbours: first
+        widths.append(np.full(len(keys[-1]), width))
+    key, width = np.concatenate(keys), np.concatenate(widths)
+    shared = int(width[0]) if (width == width[0]).all() else None
+    key = key.astype(np.uint16 if key.max() < 1 << 16 else np.int64)
+    order, many = np.argsort(key, kind="stable"), np.bincount(key)
+    out = np.concatenate([images[k][0] for who in alike.values() for k in who])
+    end = np.cumsum(many)
+    for k in np.flatnonzero(many).tolist():
+        spot = order[end[k] - many[k] : end[k]]
+        w = width[spot] if shared is None else shared
+        guess = predicted(k & 15, lambda j: out[spot - (1, w, w + 1, w - 1)[j]])  # noqa: B023
+        out[spot] = (out[spot].view(np.uint8) + guess.view(np.uint8)).view(np.uint32)
+    result, at = [None] * len(images), 0
+    for who in alike.values():
+        for k in who:
+            result[k] = out[at : at + len(images[k][0])]
+            at += len(images[k][0])
     return result
 
 
@@ -737,7 +847,8 @@ def _decode(streams: list[bytes], used: Counter) -> list[np.ndarray]:
                 p[:, [1, 3]] += p[:, [2]]
                 images[f] = _whole(p)
             elif k == CROSS_COLOUR:
-                images[f] = _whole(_cross(_parts(images[f]), _parts(sub)[_tiles(wide, int(height[f]), bits)[0]], True))
+                if (sub & ~_OPAQUE).any():  # all factors zero: nothing to add
+                    images[f] = _whole(_cross(_parts(images[f]), _parts(sub)[_tiles(wide, int(height[f]), bits)[0]], True))
             elif k == PALETTE:
                 table = np.zeros(256, np.uint32)
                 table[: len(sub)] = _whole(np.cumsum(_parts(sub), axis=0))

@@ -75,3 +75,42 @@ def test_broken_streams_are_refused():
     for bad in (s[: len(s) // 2], b"\x2e" + s[1:], s[:6]):
         with pytest.raises(webp.BadImage):
             webp_batch.decode_streams([bad])
+
+
+def test_every_image_but_noise_is_predicted():
+    """No checksum and no height leaves an image out, and an image's choices hang on nothing but the image."""
+    images, written, read = pictures(), Counter(), Counter()
+    streams = webp_batch.encode_streams(images, 192, written)
+    webp_batch.decode_streams(streams, read)
+    assert written["plain"] == 1  # of the pictures only the one of random samples
+    for name in ("predictor", "cross_colour"):
+        assert written[name] == read[f"{name}_read"] == len(images) - 1, name
+    for k in (0, 50, 121, 123, 124):
+        assert webp_batch.encode_streams(images[k : k + 1], 192) == streams[k : k + 1]
+
+
+def test_tiles_take_modes_and_factors_that_pay():
+    rng, rows = np.random.default_rng(5), 40
+    green, noise = np.cumsum(rng.integers(-3, 4, 192 * rows)), rng.integers(0, 3, (2, 192 * rows))
+    tied = np.stack([green // 2 + noise[0], green, green // 4 + noise[1]], axis=1)  # red and blue follow green
+    tiles = []
+    for step in (0, 1, -1):  # like the top, the top left, the top right
+        line = rng.integers(0, 256, (32, 3))
+        tiles.append(np.stack([np.roll(line, step * k, axis=0) for k in range(rows)]))
+    tiles += [np.repeat(rng.integers(0, 256, (rows, 1, 3)), 32, axis=1) for _ in range(3)]  # like the left
+    images, written = [(v % 256).astype(np.uint8) for v in (tied, np.concatenate(tiles, axis=1).reshape(-1, 3))], Counter()
+    streams = webp_batch.encode_streams(images, 192, written)
+    assert written["predictor"] == 2 and written["factored"] > 0 and all(written[f"mode_{k}"] > 0 for k in (1, 2, 3, 4))
+    for px, s, got in zip(images, streams, webp_batch.decode_streams(streams), strict=True):
+        assert (got[:, :, :3].reshape(-1, 3) == px).all() and (webp.decode(file_of(s)) == got).all()
+        assert len(s) < 0.6 * px.size
+
+
+def test_predictions_are_the_plain_readers():
+    near = np.random.default_rng(6).integers(0, 256, (4, 500, 4), dtype=np.uint8)
+    near[:, :50] = near[:, :50] // 128 * 255
+    packed = [np.ascontiguousarray(v).view(np.uint32).ravel() for v in near]
+    for mode in range(16):
+        got = np.array(webp_batch.predicted(mode, packed.__getitem__)).view(np.uint8).reshape(-1, 4)
+        want = [webp._predict(mode, *(v[i, ::-1].tolist() for v in near))[::-1] for i in range(500)]
+        assert (got == np.array(want)).all(), mode
