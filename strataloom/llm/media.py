@@ -85,7 +85,7 @@ def from_media(media: list[bytes], used: Counter | None = None) -> list[np.ndarr
 def features(pixels: np.ndarray) -> str:
     """Size, channel sums and a 64-bit average hash: which of 64 equal runs of samples are brighter than the mean."""
     flat = pixels.reshape(-1)
-    sums = flat.reshape(-1, 3).sum(axis=0, dtype=np.int64)
+    sums = pixels.sum(axis=0, dtype=np.int64).sum(axis=0)
     edges = np.arange(64) * len(flat) // 64
     means = np.add.reduceat(flat, edges, dtype=np.int64) / np.diff(np.append(edges, len(flat)))
     bits = np.packbits(means > flat.mean()).tobytes().hex()

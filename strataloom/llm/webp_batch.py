@@ -1,9 +1,10 @@
 """Lossless WebP for many images at once: every numpy pass handles one step of all of them.
 
-Images of texts are small and many. Writing is free of loops over pixels. Reading is a loop over the pixels of the longest
-image in which each step decodes one pixel of every image (prefix codes, back-references and colour cache), then inverts
-transforms (the predictor by diagonals, of all images together). What this reader doesn't take (several groups of
-prefix codes, codes longer than ``BITS``) goes to the plain reader in ``webp``, which also checks this one in tests.
+Images of texts are small and many. Writing is free of loops over pixels. Reading is a loop over the symbols of the longest
+image in which each step decodes one symbol of every image; what back-references and cache hits stand for is then found for
+all of them at once, and transforms are inverted (the predictor by diagonals, of all images together). What this reader doesn't
+take (several groups of prefix codes, codes longer than ``BITS``, cache hits on slots still empty) goes to the plain reader in
+``webp``, which also checks this one in tests.
 
 Written are, by image: a palette where it pays, with pixels bundled if there are few colours; then, for every image but
 noise, of any size, predictor and cross-colour transforms, each tile by the modes and factors that cost it least; a colour
@@ -22,7 +23,7 @@ from strataloom.llm.webp import _HASH, _NEAR, _ORDER, CROSS_COLOUR, PALETTE, PRE
 BITS = 11  # longest prefix code written, and read in step
 CACHE_BITS = 7
 TILE = 5  # tiles of 32 pixels for modes and factors
-PIECE = 1 << 16  # pixels whose modes are tried at once, to stay in a core's cache
+PIECE = 1 << 14  # pixels whose modes are tried at once, to stay in a core's cache
 _U = np.uint64
 _NEAR_X, _NEAR_Y = np.array(_NEAR).T
 _ALPHABETS = (280, 256, 256, 256, 40)
@@ -36,6 +37,14 @@ def _order(key: np.ndarray) -> np.ndarray:
     return (np.sort(key.astype(_U) << _U(32) | np.arange(len(key), dtype=_U)) & _U(0xFFFFFFFF)).astype(np.int64)
 
 
+def _cells(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, symbol, length) of the lengths that aren't zero, in order; np.nonzero of rows is slower."""
+    flat = np.ascontiguousarray(lengths).ravel()
+    spot = np.flatnonzero(flat)
+    r = spot // lengths.shape[1]
+    return r, spot - r * lengths.shape[1], flat[spot].astype(np.int64)
+
+
 def _reverse(v: np.ndarray, n) -> np.ndarray:
     """The low n (at most 16) bits of v in reverse."""
     v = v.astype(np.uint32)
@@ -44,21 +53,25 @@ def _reverse(v: np.ndarray, n) -> np.ndarray:
     return v >> (16 - np.asarray(n)).astype(np.uint32)
 
 
-def pack_bits(stream: np.ndarray, value: np.ndarray, size: np.ndarray, streams: int) -> list[bytes]:
-    """Values of ``size`` bits each (64 at most), low bits first, in order of stream: the bytes of every stream."""
-    bits = np.bincount(stream, weights=size, minlength=streams).astype(np.int64)
+def pack_bits(parts: list[tuple], streams: int) -> list[bytes]:
+    """Streams' bytes from parts that follow each other: (stream, value, size) by stream, of ``size`` bits (64 at most), low bits first."""
+    many = [np.bincount(stream, weights=size, minlength=streams).astype(np.int64) for stream, _, size in parts]
+    bits = sum(many)
     words = (bits + 63) // 64
     base = np.cumsum(words) - words
-    end = np.cumsum(size)
-    before = np.concatenate([[0], np.cumsum(bits)[:-1]])
-    pos = base[stream] * 64 + end - size - before[stream]
-    shift = (pos & 63).astype(_U)
-    word = pos >> 6
-    out = np.zeros(int(words.sum()) + 2, _U)
-    head = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-    out[word[head]] = np.bitwise_or.reduceat(value << shift, head)
-    over = np.flatnonzero((pos & 63) + size > 64)
-    out[word[over] + 1] |= value[over] >> (_U(64) - shift[over])
+    out, at = np.zeros(int(words.sum()) + 2, _U), base * 64
+    for (stream, value, size), n in zip(parts, many, strict=True):
+        pos = np.cumsum(size)
+        pos -= size
+        pos += (at - np.cumsum(n) + n)[stream]
+        low = pos & 63
+        word = pos >> 6
+        shift = low.view(_U)
+        head = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])[: len(word)])
+        out[word[head]] |= np.bitwise_or.reduceat(value << shift, head)
+        over = np.flatnonzero(low + size > 64)
+        out[word[over] + 1] |= value[over] >> (_U(64) - shift[over])
+        at = at + n
     raw = out.tobytes()
     return [raw[8 * b : 8 * b + (n + 7) // 8] for b, n in zip(base.tolist(), bits.tolist(), strict=True)]
 
@@ -79,51 +92,65 @@ def code_lengths(counts: np.ndarray, most: int = BITS) -> np.ndarray:
 
 
 def _optimal(counts: np.ndarray) -> np.ndarray:
-    rows = np.arange(len(counts))
-    used = (counts > 0).sum(axis=1)
+    r, s, c = _cells(counts)
+    used = np.bincount(r, minlength=len(counts))
     rank = np.argsort(-used, kind="stable")
-    counts, used = counts[rank], used[rank]
-    k = max(int(used[0]), 2)
-    far = np.int64(1) << 60
-    order = (np.sort(np.where(counts > 0, counts, far >> 16) << 16 | np.arange(counts.shape[1]), axis=1) & 0xFFFF)[:, :k]
-    leaf = np.full((len(rows), k + 1), far)
-    leaf[:, :k] = np.take_along_axis(np.where(counts > 0, counts, far), order, 1)
-    node = np.full((len(rows), k + 1), far)
-    up_leaf, up_node = np.zeros((2, len(rows), k + 1), np.int64)
-    at_leaf, at_node = np.zeros((2, len(rows)), np.int64)
+    place = np.empty_like(rank)
+    place[rank] = np.arange(len(rank))
+    r, used = place[r], used[rank]
+    if int(c.max()) < 1 << 34 and len(used) < 1 << 17 and counts.shape[1] <= 1 << 12:
+        key = np.sort(r << 46 | c << 12 | s)  # by row, lightest first
+        r, s, c = key >> 46, key & 0xFFF, key >> 12 & (1 << 34) - 1
+    else:
+        order = np.lexsort((s, c, r))
+        r, s, c = r[order], s[order], c[order]
+    k, n_rows, far = max(int(used[0]), 2), len(used), np.int64(1) << 60
+    rows, column = np.arange(n_rows), np.arange(len(r)) - np.repeat(np.cumsum(used) - used, used)
+    leaf, node = np.full((2, n_rows, k + 1), far)
+    leaf[r, column] = c
+    leaves, nodes = leaf.ravel(), node.ravel()
+    at_leaf = rows * (k + 1)
+    at_node = at_leaf.copy()
     live = np.searchsorted(-used, -np.arange(2, k + 1), "right")  # rows with at least t + 2 symbols
+    from_leaf = np.zeros((n_rows, 2 * (k - 1)), bool)
     for t in range(k - 1):  # the two lightest of each row's leaves and nodes are joined
-        n = live[t]
-        r, total = rows[:n], 0
-        for _ in range(2):
-            x, y = leaf[r, at_leaf[:n]], node[r, at_node[:n]]
+        n, total = live[t], 0
+        for turn in (2 * t, 2 * t + 1):
+            x, y = leaves.take(at_leaf[:n]), nodes.take(at_node[:n])
             first = x <= y
-            total = total + np.where(first, x, y)
-            i, j = np.flatnonzero(first), np.flatnonzero(~first)
-            up_leaf[i, at_leaf[i]] = t
-            up_node[j, at_node[j]] = t
-            at_leaf[i] += 1
-            at_node[j] += 1
-        node[r, t] = total
-    depth = np.zeros((len(rows), k), np.int64)
+            from_leaf[:n, turn] = first
+            total = total + np.minimum(x, y)
+            at_leaf[:n] += first
+            at_node[:n] += ~first
+        node[:n, t] = total
+    taken = np.arange(2 * (k - 1)) < 2 * (used[:, None] - 1)
+
+    def above(picks):
+        """Which node each leaf or node, in their order, goes to: as the node's place among rows of equal numbers."""
+        spot = np.flatnonzero(picks)
+        r = spot // picks.shape[1]
+        many = np.bincount(r, minlength=n_rows)
+        return r, np.arange(len(r)) - np.repeat(np.cumsum(many) - many, many), ((spot - r * picks.shape[1]) >> 1) * n_rows + r
+
+    up, depth = np.zeros((k, n_rows), np.int64), np.zeros((k, n_rows), np.int64)
+    of, which, parent = above(taken & ~from_leaf)
+    up[which, of] = parent
+    depths = depth.ravel()
     for t in range(k - 3, -1, -1):
         n = live[t + 1]
-        depth[:n, t] = depth[rows[:n], up_node[:n, t]] + 1
-    lengths = np.take_along_axis(depth, np.minimum(up_leaf[:, :k], k - 1), 1) + 1
-    lengths[np.arange(k)[None, :] >= used[:, None]] = 0
+        depth[t, :n] = depths.take(up[t, :n]) + 1
+    _, _, parent = above(from_leaf)  # in the order of the leaves
     out = np.zeros(counts.shape, np.uint8)
-    np.put_along_axis(out, order, np.minimum(lengths, 255).astype(np.uint8), 1)
-    back = np.empty_like(out)
-    back[rank] = out
-    return back
+    out[rank[r], s] = np.minimum(depths.take(parent) + 1, 255)
+    return out
 
 
 def canonical(lengths: np.ndarray) -> np.ndarray:
     """Codes by symbol, first bit lowest."""
     out = np.zeros(lengths.shape, np.uint32)
-    r, s = np.nonzero(lengths)
-    most = int(lengths.max(initial=1))
-    key = np.sort(r << 16 | lengths[r, s].astype(np.int64) << 12 | s)
+    r, s, n = _cells(lengths)
+    most = int(n.max(initial=1))
+    key = np.sort(r << 16 | n << 12 | s)
     r, n, s = key >> 16, key >> 12 & 0xF, key & 0xFFF
     room = 1 << (most - n)  # of the longest codes' room, what a code takes
     before = np.cumsum(room) - room
@@ -157,14 +184,14 @@ _LENGTH = np.array([_META_CODE.get(n, 0) for n in range(13)], _U)
 
 def _code_tokens(lengths: np.ndarray, sizes: np.ndarray):
     """(row, value, bits) that write each row's code; ``sizes`` are the alphabets."""
-    r, s = np.nonzero(lengths)
+    r, s, n = _cells(lengths)
     many = np.bincount(r, minlength=len(lengths))
     only = np.zeros(len(lengths), bool)
     only[r] = (many[r] == 1) & (s < 256)
     first, one = np.full(len(lengths), -1), only[r]
     first[r[one]] = s[one]
     simple = np.flatnonzero(only)
-    r, s = r[~one], s[~one]
+    r, s, n = r[~one], s[~one], n[~one]
     prev = np.concatenate([[-1], s[:-1]])
     prev[np.concatenate([[True], r[1:] != r[:-1]])[: len(r)]] = -1
     gap = s - prev - 1
@@ -174,7 +201,7 @@ def _code_tokens(lengths: np.ndarray, sizes: np.ndarray):
     end = (sizes - last - 1)[whole]
     row = np.concatenate([simple, whole, r, whole])
     step = np.concatenate([np.zeros(len(simple) + len(whole), np.int64), np.ones(len(r), np.int64), np.full(len(whole), 2)])
-    value = np.concatenate([(first[simple].astype(_U) << _U(3)) | _U(5), np.full(len(whole), _META_HEAD[0], _U), _GAP[gap] | _LENGTH[lengths[r, s]] << _GAP_SIZE[gap].astype(_U), _GAP[end]])
+    value = np.concatenate([(first[simple].astype(_U) << _U(3)) | _U(5), np.full(len(whole), _META_HEAD[0], _U), _GAP[gap] | _LENGTH[n] << _GAP_SIZE[gap].astype(_U), _GAP[end]])
     size = np.concatenate([np.full(len(simple), 11), np.full(len(whole), _META_HEAD[1]), _GAP_SIZE[gap] + 4, _GAP_SIZE[end]])
     order = _order(row * 4 + step)
     return row[order], value[order], size[order]
@@ -244,16 +271,15 @@ def _cache_hits(px: np.ndarray, image: np.ndarray):
 
 
 def code_images(px: np.ndarray, sizes: np.ndarray, widths: np.ndarray, main: bool, used: Counter):
-    """(image, step, value, bits) tokens, in order of steps (below 8), of images that lie one after the other in ``px``."""
+    """Tokens of images that lie one after the other in ``px``: (image, step, value, bits) ahead of the pixels, (image, value, bits) of these."""
     m = len(sizes)
     image = np.repeat(np.arange(m), sizes)
     start = np.cumsum(sizes) - sizes
     place, length, distance = _references(px, image, start)
-    starts, covered = np.zeros(len(px) + 1, np.int64), np.zeros(len(px) + 1, np.int64)
-    starts[place] = 1
+    covered = np.zeros(len(px) + 1, np.int8)
     covered[place] += 1
     covered[place + length] -= 1
-    inside = np.cumsum(covered[:-1]) > 0
+    inside = np.cumsum(covered[:-1], dtype=np.int8) > 0
     hit, slot = _cache_hits(px, image)
     hit &= ~inside
     cached = main & (np.bincount(image[hit], minlength=m) * 20 >= sizes)
@@ -270,11 +296,12 @@ def code_images(px: np.ndarray, sizes: np.ndarray, widths: np.ndarray, main: boo
     lp, lx, ln = _span_code(length)
     dp, dx, dn = _span_code(code)
     alphabet = 280 + (1 << CACHE_BITS)
-    parts = [(px[lit] >> np.uint32(s) & np.uint32(255)).astype(np.int64) for s in (8, 16, 0, 24)]
-    of = image[lit]
-    green = np.bincount(np.concatenate([of * alphabet + parts[0], image[place] * alphabet + 256 + lp, image[hits] * alphabet + 280 + slot[hits]]), minlength=m * alphabet).reshape(m, alphabet)
-    others = [np.bincount(of * 256 + p, minlength=m * 256).reshape(m, 256) for p in parts[1:]]
-    far = np.bincount(image[place] * 40 + dp, minlength=m * 40).reshape(m, 40)
+    written, of, by = px[lit].view(np.uint8).reshape(-1, 4), image[lit], image[place]
+    parts = [of * (256 if k else alphabet) + written[:, s] for k, s in enumerate((1, 2, 0, 3))]
+    runs, cache_slots, reach = by * alphabet + 256 + lp, image[hits] * alphabet + 280 + slot[hits], by * 40 + dp
+    green = sum(np.bincount(v, minlength=m * alphabet) for v in (parts[0], runs, cache_slots)).reshape(m, alphabet)
+    others = [np.bincount(p, minlength=m * 256).reshape(m, 256) for p in parts[1:]]
+    far = np.bincount(reach, minlength=m * 40).reshape(m, 40)
     tokens, codes = [(np.arange(m), np.zeros(m, np.int64), np.where(cached, 1 | CACHE_BITS << 1, 0).astype(_U), np.where(cached, 5, 1) + main)], []
     for k, counts in enumerate((green, *others, far)):
         counts[counts.sum(axis=1) == 0, 0] = 1
@@ -282,33 +309,28 @@ def code_images(px: np.ndarray, sizes: np.ndarray, widths: np.ndarray, main: boo
         row, value, size = _code_tokens(lengths, np.full(m, _ALPHABETS[k]) + (cached << CACHE_BITS if k == 0 else 0))
         tokens.append((row, np.full(len(row), k + 1), value, size))
         several = np.flatnonzero((lengths > 0).sum(axis=1) > 1)
-        both = np.zeros(lengths.shape, _U)
-        both[several] = canonical(lengths[several]).astype(_U) << _U(8) | lengths[several].astype(_U)
-        codes.append(both.ravel())
-
-    def join(pairs):
-        value, size = _U(0), np.int64(0)
-        for v, n in pairs:
-            value = value | v << np.asarray(size).astype(_U)
-            size = size + n
+        both = np.zeros(lengths.shape, np.uint16)
+        both[several] = canonical(lengths[several]) << np.uint32(4) | lengths[several]
+        codes.append(both.ravel() if len(several) else None)  # none: no symbol takes bits
+
+    def join(pairs, n):
+        value, size = np.zeros((2, n), np.int64)
+        for v, k in pairs:
+            value |= v << size
+            size += k
         return value, size
 
-    def coded(k, i, s):
-        both = codes[k][i * (alphabet if k == 0 else 40 if k == 4 else 256) + s]
-        return both >> _U(8), (both & _U(255)).astype(np.int64)
+    def coded(k, spot):
+        if codes[k] is not None:
+            both = codes[k].take(spot).astype(np.int64)
+            yield both >> 4, both & 15
 
-    spots, values, bits = [lit, hits, place], [], []
-    for v, n in (
-        join(coded(k, of, p) for k, p in enumerate(parts)),
-        join([coded(0, image[hits], 280 + slot[hits])]),
-        join([coded(0, image[place], 256 + lp), (lx.astype(_U), ln), coded(4, image[place], dp), (dx.astype(_U), dn)]),
-    ):
-        values.append(v)
-        bits.append(n)
-    spot = np.concatenate(spots)
-    order = _order(spot)
-    tokens.append((image[spot[order]], np.full(len(spot), 6), np.concatenate(values)[order], np.concatenate(bits)[order]))
-    return tuple(np.concatenate(c) for c in zip(*tokens, strict=True))
+    value, size = np.zeros((2, len(px)), np.int64)
+    value[lit], size[lit] = join((c for k, p in enumerate(parts) for c in coded(k, p)), len(lit))
+    value[hits], size[hits] = join(coded(0, cache_slots), len(hits))
+    value[place], size[place] = join([*coded(0, runs), (lx, ln), *coded(4, reach), (dx, dn)], len(place))
+    spot = np.flatnonzero(size)
+    return tuple(np.concatenate(c) for c in zip(*tokens, strict=True)), (image[spot], value[spot].view(_U), size[spot])
 
 
 def _constant(argb: int) -> tuple[int, int]:
@@ -393,7 +415,7 @@ def _tiles(width: int, height: int, bits: int) -> tuple[np.ndarray, int]:
 
 
 def _spatial(argb: np.ndarray, rows: np.ndarray, width: int):
-    """(residuals, modes, factors, tiles, noise) of opaque images of one width, one after the other.
+    """(residuals, modes, factors, noise) of opaque images of one width and one number of tiles, one after the other.
 
     All 14 modes are tried on every tile. A byte costs what it would by its image's counts under the one mode that suits the
     whole image best; a tile takes the mode, then the least-squares factors or none, at the least cost. Sums are of integers,
@@ -413,39 +435,39 @@ def _spatial(argb: np.ndarray, rows: np.ndarray, width: int):
     p = np.empty(n, np.uint32)
     p[fixed] = less(argb[fixed], guess)
 
+    side = 1 << TILE
+    across = (width + side - 1) >> TILE
+    tiles = across * _down(int(rows[0]))
+    n_tiles = m * tiles
+    y, x = np.divmod(place, width)
+    tile = image * tiles + ((y - (first // width)[image]) >> TILE) * across + (x >> TILE)
+
     channel = np.array([[0], [256], [512]])
-    of, at = image[free] * 768 + channel, np.empty((14, 3, len(free)), np.int64)
-    count = lambda v: np.bincount(v.ravel(), minlength=768 * m).reshape(m, 768)
+    of, at, rest = image[free] * 768 + channel, np.empty((14, 3, len(free)), np.int64), np.empty((14, len(free)), np.uint32)
     c = np.arange(int(sizes.max()) + 1)
     log = np.rint(1024 * c * np.log2(np.maximum(c, 1))).astype(np.int64)
     own, around = argb[free], [padded[free + k] for k in (width, 1, 0, 2)]
-    always = count(image[fixed] * 768 + channel + p[fixed].view(np.uint8).reshape(-1, 4).T[:3])
-    rest, counts, bits = [], [], []
+    always = np.bincount((image[fixed] * 768 + channel + p[fixed].view(np.uint8).reshape(-1, 4).T[:3]).ravel(), minlength=768 * m).reshape(m, 768)
+    counts, bits = [], []
     for mode in range(14):
-        rest.append(less(own, predicted(mode, around.__getitem__)))
-        np.add(rest[-1].view(np.uint8).reshape(-1, 4).T[:3], of, out=at[mode])
-        counts.append(always + count(at[mode]))
+        rest[mode] = less(own, predicted(mode, around.__getitem__))
+        np.add(rest[mode].view(np.uint8).reshape(-1, 4).T[:3], of, out=at[mode])
+        counts.append(always + np.bincount(at[mode].ravel(), minlength=768 * m).reshape(m, 768))
         bits.append(3 * log[sizes] - log[counts[-1]].sum(axis=1))
     best = np.argmin(bits, axis=0)
     noise = np.min(bits, axis=0) > 1024 * 0.98 * 24 * sizes
     usual = np.stack([counts[k][i] for i, k in enumerate(best.tolist())])
     cost = np.rint(256 * np.log2((sizes[:, None] + 77) / (usual + 0.3))).astype(np.int32).ravel()
 
-    side = 1 << TILE
-    across, down = (width + side - 1) >> TILE, (rows + side - 1) >> TILE
-    tiles = down * across
-    y, x = np.divmod(place, width)
-    tile = (np.cumsum(tiles) - tiles)[image] + ((y - (first // width)[image]) >> TILE) * across + (x >> TILE)
-
     def summer(tile):
         """Sums by tile, where pixels of a tile are neighbours for the most part."""
         runs = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]])[: len(tile)])
-        by, most = tile[runs], int(tiles.sum())
-        return lambda v: np.bincount(by, weights=np.add.reduceat(v, runs, dtype=np.int64), minlength=most) if len(v) else np.zeros(most)
+        by = tile[runs]
+        return lambda v: np.bincount(by, weights=np.add.reduceat(v, runs, dtype=np.int64), minlength=n_tiles) if len(v) else np.zeros(n_tiles)
 
     searched, sums = summer(tile[free]), summer(tile)
-    modes = np.argmin([searched(cost[v[0]] + cost[v[1]] + cost[v[2]]) for v in at], axis=0)
-    p[free] = np.stack(rest)[modes[tile[free]], np.arange(len(free))]
+    modes = np.argmin([searched(cost.take(v, mode="clip").sum(axis=0, dtype=np.int32)) for v in at], axis=0)
+    p[free] = rest[modes[tile[free]], np.arange(len(free))]
 
     blue, green, red = (np.ascontiguousarray(v).astype(np.int32) for v in p.view(np.int8).reshape(n, 4).T[:3])
     fit = lambda x, y: np.clip(np.round(32 * sums(x * y) / np.maximum(sums(x * x), 1)), -128, 127).astype(np.int32)
@@ -460,23 +482,30 @@ def _spatial(argb: np.ndarray, rows: np.ndarray, width: int):
     factors = np.stack([np.full(len(modes), 255, np.int32), red_blue, green_blue, green_red], axis=1)
     spot = np.flatnonzero(factors[:, 1:].any(axis=1)[tile])
     p[spot] = _whole(_cross(_parts(p[spot]), factors[tile[spot]], False))
-    return p, modes, _whole(factors), tiles, noise
+    return p, modes, _whole(factors), noise
 
 
 # --- writing streams ----------------------------------------------------------------------------------------------------
 
 
+def _down(rows: int) -> int:
+    """Tiles below each other."""
+    return (rows + (1 << TILE) - 1) >> TILE
+
+
 def _pieces(sizes: list[int], widths: list[int]):
-    """Images of one width, by number, of about PIECE pixels in sum."""
-    for w in sorted(set(widths)):
+    """Images of one width and one number of tiles, by number, of about PIECE pixels in sum."""
+    alike = {}
+    for f, (n, w) in enumerate(zip(sizes, widths, strict=True)):
+        alike.setdefault((w, _down(n // w)), []).append(f)
+    for _, who in sorted(alike.items()):
         held, size = [], 0
-        for f in range(len(sizes)):
-            if widths[f] == w:
-                held.append(f)
-                size += sizes[f]
-                if size >= PIECE:
-                    yield held
-                    held, size = [], 0
+        for f in who:
+            held.append(f)
+            size += sizes[f]
+            if size >= PIECE:
+                yield held
+                held, size = [], 0
         if held:
             yield held
 
@@ -485,12 +514,15 @@ def encode_streams(images: list[np.ndarray], width: int, used: Counter | None =
     """Lossless streams of opaque images of one width, given as (rows x width, 3) samples."""
     used = Counter() if used is None else used
     head, subs, mains, sizes, widths = [], [], [], [], []
+    every = np.full((sum(map(len, images)), 4), 255, np.uint8)  # blue lowest, alpha highest
+    np.concatenate([np.zeros((0, 3), np.uint8), *images], out=every[:, 2::-1])
+    every, at = every.view("<u4").ravel(), 0
     for f, rgb in enumerate(images):
-        rgb = rgb.astype(np.uint32)
-        argb = np.uint32(0xFF000000) | rgb[:, 0] << np.uint32(16) | rgb[:, 1] << np.uint32(8) | rgb[:, 2]
+        argb, at = every[at : at + len(rgb)], at + len(rgb)
         rows, wide = len(argb) // width, width
         head.append((f, 0, 0x2F | (width - 1) << 8 | (rows - 1) << 22, 40))
-        colours = np.unique(argb)
+        colours = np.sort(argb)
+        colours = colours[np.concatenate([[True], colours[1:] != colours[:-1]])]
         if len(colours) <= 256 and 2 * len(colours) <= len(argb):
             index = np.searchsorted(colours, argb)
             shrink = _palette_bits(len(colours))
@@ -510,30 +542,35 @@ def encode_streams(images: list[np.ndarray], width: int, used: Counter | None =
         widths.append(wide)
     for these in _pieces(sizes, widths):
         wide, each = widths[these[0]], np.array([sizes[f] for f in these])
-        rest, modes, factors, tiles, noise = _spatial(np.concatenate([mains[f] for f in these]), each // wide, wide)
-        ends, tile_ends = np.cumsum(each).tolist(), np.cumsum(tiles).tolist()
-        for f, n, e, t, te, plain in zip(these, each.tolist(), ends, tiles.tolist(), tile_ends, noise.tolist(), strict=True):
-            if plain:
-                used.update(plain=1)
-                continue
-            mains[f], mine, by = rest[e - n : e], modes[te - t : te], factors[te - t : te]
-            used.update(predictor=1, cross_colour=1, factored=int((by != _OPAQUE).any()), **{f"mode_{k}": 1 for k in set(mine.tolist())})
-            for k, kind, sub in ((3, PREDICTOR, _OPAQUE | mine.astype(np.uint32) << np.uint32(8)), (5, CROSS_COLOUR, by)):
-                head.append((f, k, 1 | kind << 1 | (TILE - 2) << 3, 6))
-                if (sub == sub[0]).all():
-                    head.append((f, k + 1, *_constant(int(sub[0]))))
+        rest, modes, factors, noise = _spatial(np.concatenate([mains[f] for f in these]), each // wide, wide)
+        modes, factors, taken = modes.reshape(len(these), -1), factors.reshape(len(these), -1), ~noise
+        for f, n, e, plain in zip(these, each.tolist(), np.cumsum(each).tolist(), noise.tolist(), strict=True):
+            if not plain:
+                mains[f] = rest[e - n : e]
+        used.update(plain=int(noise.sum()), predictor=int(taken.sum()), cross_colour=int(taken.sum()), factored=int((factors[taken] != _OPAQUE).any(axis=1).sum()))
+        used.update({f"mode_{v}": int((modes[taken] == v).any(axis=1).sum()) for v in range(14)})
+        for step, kind, tiled in ((3, PREDICTOR, _OPAQUE | modes.astype(np.uint32) << np.uint32(8)), (5, CROSS_COLOUR, factors)):
+            alike = (tiled == tiled[:, :1]).all(axis=1).tolist()
+            for f, plain, one, first, sub in zip(these, noise.tolist(), alike, tiled[:, 0].tolist(), tiled, strict=True):
+                if plain:
+                    continue
+                head.append((f, step, 1 | kind << 1 | (TILE - 2) << 3, 6))
+                if one:
+                    head.append((f, step + 1, *_constant(first)))
                 else:
-                    subs.append((f, k + 1, sub, (wide + (1 << TILE) - 1) >> TILE))
+                    subs.append((f, step + 1, sub, (wide + (1 << TILE) - 1) >> TILE))
     frame, step, value, size = (np.array(c, t) for c, t in zip(zip(*head, strict=True), (np.int64, np.int64, _U, np.int64), strict=True))
     tokens = [(frame * 128 + step * 8, value, size)]
     for parts, main in ((subs, False), ([(f, 8, a, w) for f, (a, w) in enumerate(zip(mains, widths, strict=True))], True)):
         if parts:
             place = np.array([p[0] * 128 + p[1] * 8 for p in parts])
-            row, step, value, size = code_images(np.concatenate([p[2] for p in parts]).astype(np.uint32), np.array([len(p[2]) for p in parts]), np.array([p[3] for p in parts]), main, used)
+            (row, step, value, size), pixels = code_images(np.concatenate([p[2] for p in parts]).astype(np.uint32), np.array([len(p[2]) for p in parts]), np.array([p[3] for p in parts]), main, used)
             tokens.append((place[row] + step, value, size))
+            if not main:
+                tokens.append((place[pixels[0]] + 6, *pixels[1:]))
     key, value, size = (np.concatenate(c) for c in zip(*tokens, strict=True))
     order = _order(key)
-    return pack_bits(key[order] >> 7, value[order], size[order], len(images))
+    return pack_bits([(key[order] >> 7, value[order], size[order]), pixels], len(images))  # what it ends with is each image's own pixels
 
 
 # --- reading streams ----------------------------------------------------------------------------------------------------
@@ -547,10 +584,10 @@ class _Batch:
     def __init__(self, streams: list[bytes]):
         size = np.array([len(s) for s in streams], np.int64)
         base = np.cumsum(size + 8) - size - 8
-        raw = np.frombuffer(b"".join(s + b"\0" * 8 for s in streams) + b"\0" * 8, np.uint8)
-        self.words = np.zeros(len(raw) - 7, _U)
+        raw = b"".join(s + b"\0" * 8 for s in streams) + b"\0" * 16
+        self.words = np.empty(len(raw) // 8 * 8 - 8, _U)  # the 64 bits from each byte on
         for k in range(8):
-            self.words |= raw[k : k + len(self.words)].astype(_U) << _U(8 * k)
+            self.words[k::8] = np.frombuffer(raw, "<u8", len(self.words) // 8, k)
         self.at, self.end = base * 8, (base + size) * 8
 
     def window(self, at: np.ndarray) -> np.ndarray:
@@ -571,17 +608,16 @@ def _tables(lengths: np.ndarray, bits: int, who: np.ndarray) -> np.ndarray:
         raise BadImage("an empty prefix code")
     if lengths.max() > bits:
         raise _Odd(who[(lengths > bits).any(axis=1)])
-    lengths = lengths.astype(np.int64)
     lone = many == 1
-    r, s = np.nonzero(lengths)
-    n = np.where(lone[r], 0, lengths[r, s])
+    r, s, n = _cells(lengths)
+    n[lone[r]] = 0
     key = np.sort(r << 16 | n << 12 | s)
     r, s, n = key >> 16, key & 0xFFF, key >> 12 & 0xF
     wide = 1 << (bits - n)
     if (np.bincount(r, weights=wide, minlength=len(lengths)) != 1 << bits).any():
         raise BadImage("an incomplete prefix code")
     table = np.repeat((s << 4 | n).astype(np.uint16), wide).reshape(len(lengths), 1 << bits)
-    return np.ascontiguousarray(table[:, _reverse(np.arange(1 << bits), bits)])
+    return table.take(_reverse(np.arange(1 << bits), bits), axis=1)
 
 
 def _read_codes(b: _Batch, who: np.ndarray, alphabet: np.ndarray) -> np.ndarray:
@@ -612,31 +648,46 @@ def _read_codes(b: _Batch, who: np.ndarray, alphabet: np.ndarray) -> np.ndarray:
     cut = np.flatnonzero(b.read(w, 1))
     if len(cut):
         left[cut] = 2 + b.read(w[cut], 2 + 2 * b.read(w[cut], 3))
-    at, last = np.zeros(len(i), np.int64), np.full(len(i), 8)
-    live = np.arange(len(i))
+    wide = lengths.shape[1] + 1  # with one to spare, where an ended code writes
+    size, flat, words = alphabet[i], np.zeros(len(i) * wide, np.uint8), b.words.view(np.int64)
+    live, p, at, table, turn = np.arange(len(i)), b.at[w], np.zeros(len(i), np.int64), table.ravel(), 0
+    rows, first = live << 7, live * wide
     while True:
-        live = live[(at[live] < alphabet[i[live]]) & (left[live] > 0)]
+        on = (at < size) & (left > 0)
+        if not turn & 15 and not on.all():
+            b.at[w[live[~on]]] = p[~on]
+            flat[(first + at)[~on]] = 0
+            keep = np.flatnonzero(on)
+            live, p, at, size, left, rows, first, on = (v[keep] for v in (live, p, at, size, left, rows, first, on))
         if not len(live):
+            lengths[i] = flat.reshape(len(i), wide)[:, :-1]
             return lengths
-        left[live] -= 1
-        e = table[live, (b.window(b.at[w[live]]) & _U(127)).astype(np.int64)].astype(np.int64)
-        b.at[w[live]] += e & 15
-        s = e >> 4
-        plain = s < 16
-        j = live[plain]
-        lengths[i[j], at[j]] = s[plain]
-        last[j] = np.where(s[plain] > 0, s[plain], last[j])
-        at[j] += 1
-        j, s = live[~plain], s[~plain]
+        turn += 1
+        v = words.take(p >> 3, mode="clip")
+        v >>= p & 7
+        s = table.take((v & 127) + rows).astype(np.int64)
+        move = s & 15
+        s >>= 4
+        spot = first + at
+        flat[spot] = s
+        j = np.flatnonzero((s >= 16) & on)
         if len(j):
-            n = np.where(s == 18, 11, 3) + b.read(w[j], np.array([2, 3, 7])[s - 16])
-            if (at[j] + n > alphabet[i[j]]).any():
+            kind = s[j] - 16
+            bits = np.array([2, 3, 7])[kind]
+            n = np.where(kind == 2, 11, 3) + (v[j] >> move[j] & (1 << bits) - 1)
+            if (at[j] + n > size[j]).any():
                 raise BadImage("more code lengths than symbols")
-            again = np.flatnonzero(s == 16)
-            for k in range(int(n[again].max(initial=0))):
-                q = again[n[again] > k]
-                lengths[i[j[q]], at[j[q]] + k] = last[j[q]]
-            at[j] += n
+            flat[spot[j]] = 0
+            for k, m in zip(spot[j[kind == 0]].tolist(), n[kind == 0].tolist(), strict=True):  # the last length but zero, again
+                before = flat[k - k % wide : k]
+                before = before[before > 0]
+                flat[k : k + m] = before[-1] if len(before) else 8
+            move[j] += bits
+            at[j] += n - 1
+        move *= on
+        p += move
+        at += on
+        left -= 1
 
 
 def _read_images(b: _Batch, who: np.ndarray, widths: np.ndarray, heights: np.ndarray, main: bool, used: Counter) -> list[np.ndarray]:
@@ -658,90 +709,139 @@ def _read_images(b: _Batch, who: np.ndarray, widths: np.ndarray, heights: np.nda
         lengths = _read_codes(b, who, a + (cache_size if k == 0 else np.zeros_like(cache_size)))
         bits = min(BITS, int(lengths.max()))
         rows = np.arange(len(who)) << bits
-        flat.append((_tables(lengths, BITS if (lengths > BITS).any() else bits, who).ravel(), rows, _U((1 << bits) - 1)))
-    green, red, blue, alpha, far = flat
-    clear = alpha[0][alpha[1]] >> 4 if not (alpha[0] & 15).any() else None  # one alpha to an image: no bits
-    n, most = len(who), int(total[0])
-    at, base = b.at[who], np.cumsum(total) - total
-    out = np.zeros(int(total.sum()), np.uint32)
-    left, dist = np.zeros((2, n), np.int64)
-    alive = np.searchsorted(-total, -np.arange(most), "left")
-    slots = np.cumsum(cache_size) - cache_size
-    cache = np.zeros(int(cache_size.sum()) + 1, np.uint32)
-    caching, shift = np.flatnonzero(on), (32 - cache_bits).astype(np.uint32)
-    caches = np.searchsorted(caching, alive)
-    everyone, copying = np.arange(n), False
-
-    def next_symbol(code, who, w, p):
-        table, rows, mask = code
-        e = table[rows[who] + (w & mask).astype(np.int64)].astype(np.int64)
-        k = e & 15
-        return e >> 4, w >> k.astype(_U), p + k
-
-    for i in range(most):
-        a = alive[i]
-        d = np.flatnonzero(left[:a] == 0) if copying else everyone[:a]
-        if len(d):
-            p = at[d]
-            w = b.words[np.minimum(p >> 3, len(b.words) - 1)] >> (p & 7).astype(_U)
-            s, w, p = next_symbol(green, d, w, p)
-            at[d] = p
-            lit = s < 256
-            if not lit.all():
-                j = np.flatnonzero(s >= 280)
-                if len(j):
-                    out[base[d[j]] + i] = cache[slots[d[j]] + s[j] - 280]
-                    used["cache_hits_read"] += len(j)
-                j = np.flatnonzero(~lit & (s < 280))
-                if len(j):
-                    q = d[j]
-                    used["references_read"] += len(j)
-                    run, w2, p2 = _read_span(s[j] - 256, w[j], p[j])
-                    w2 = b.words[np.minimum(p2 >> 3, len(b.words) - 1)] >> (p2 & 7).astype(_U)
-                    t, w2, p2 = next_symbol(far, q, w2, p2)
-                    back, _, p2 = _read_span(t, w2, p2)
-                    at[q] = p2
-                    close = np.minimum(back, 120) - 1
-                    back = np.where(back > 120, back - 120, np.maximum(1, _NEAR_X[close] + _NEAR_Y[close] * widths[q]))
-                    if (back > i).any() or (run > total[q] - i).any():
-                        raise BadImage("a back-reference past the image")
-                    left[q], dist[q] = run, back
-                    copying = True
-                j = np.flatnonzero(lit)
-                d, s, w, p = d[j], s[j], w[j], p[j]
-            if len(d):
-                r1, w, p = next_symbol(red, d, w, p)
-                b1, w, p = next_symbol(blue, d, w, p)
-                if clear is None:
-                    a1, w, p = next_symbol(alpha, d, w, p)
-                else:
-                    a1 = clear[d].astype(np.int64)
-                at[d] = p
-                out[base[d] + i] = (a1 << 24 | r1 << 16 | s << 8 | b1).astype(np.uint32)
-        if copying:
-            c = np.flatnonzero(left[:a])
-            spot = base[c] + i
-            out[spot] = out[spot - dist[c]]
-            left[c] -= 1
-            copying = bool(left.any())
-        if caches[i]:
-            c = caching[: caches[i]]
-            px = out[base[c] + i]
-            cache[slots[c] + ((px * np.uint32(_HASH)) >> shift[c])] = px
+        flat.append((_tables(lengths, BITS if (lengths > BITS).any() else bits, who).ravel(), rows, (1 << bits) - 1))
+    at, base = b.at[who], np.cumsum(total + 1) - total - 1  # each image has a pixel to spare, where an ended one writes
+    out, copies, hits = _symbols(b, flat, at, base, base + total, used)
     if (at > b.end[who]).any():
         raise BadImage("the data end early")
     b.at[who] = at
+    used["references_read"] += len(copies[0])
+    used["cache_hits_read"] += len(hits[0])
+    whence = np.arange(len(out))
+    spot, run, code, k = copies
+    close = np.minimum(code, 120) - 1
+    dist = np.where(code > 120, code - 120, np.maximum(1, _NEAR_X[close] + _NEAR_Y[close] * widths[k]))
+    if (dist > spot - base[k]).any():
+        raise BadImage("a back-reference past the image")
+    copied = np.repeat(spot - np.cumsum(run) + run, run) + np.arange(int(run.sum()))
+    whence[copied] = copied - np.repeat(dist, run)
+    _to_roots(whence, copied)
+    spot, slot, k = hits
+    if len(spot):  # a hit is what last came up in its slot: a pixel written out, an earlier hit, or a copy of either
+        caching = np.flatnonzero(on)
+        many = total[caching]
+        px = np.repeat(base[caching] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+        slots = np.cumsum(cache_size) - cache_size
+        key = np.zeros(len(out), np.int64)
+        key[px] = (out[px] * np.uint32(_HASH)) >> np.repeat((32 - cache_bits[caching]).astype(np.uint32), many)
+        key[spot] = slot
+        order = (key[whence[px]] + np.repeat(slots[caching], many)) << 32 | px
+        order.sort()
+        hit = np.zeros(len(out), bool)
+        hit[spot] = True
+        mine = np.flatnonzero(hit[order & 0xFFFFFFFF])
+        before = order[mine - 1]
+        new = (mine == 0) | (before >> 32 != order[mine] >> 32)
+        if new.any():  # of a slot that nothing was put in
+            raise _Odd(who[np.searchsorted(base, order[mine[new]] & 0xFFFFFFFF, "right") - 1])
+        whence[order[mine] & 0xFFFFFFFF] = before & 0xFFFFFFFF
+        copied = np.concatenate([copied, spot])
+        _to_roots(whence, copied)
+    out[copied] = out[whence[copied]]
     back = np.argsort(rank)
     return [out[s : s + k] for s, k in zip(base[back].tolist(), total[back].tolist(), strict=True)]
 
 
-def _read_span(prefix: np.ndarray, w: np.ndarray, p: np.ndarray):
-    """(length or distance, window, place) after the extra bits of a prefix."""
-    extra = np.maximum(prefix - 2, 0) >> 1
-    more = (w & ((_U(1) << extra.astype(_U)) - _U(1))).astype(np.int64)
-    v = np.where(prefix < 4, prefix + 1, ((2 + (prefix & 1)) << extra) + more + 1)
-    extra = np.where(prefix < 4, 0, extra)
-    return v, w >> extra.astype(_U), p + extra
+def _to_roots(whence: np.ndarray, todo: np.ndarray) -> None:
+    """Let pixels that come from earlier ones come from the first of their line, which comes from itself."""
+    while len(todo):
+        near = whence[todo]
+        far = whence[near]
+        todo = todo[far != near]
+        whence[todo] = far[far != near]
+
+
+#: By prefix: the number of extra bits of a length or distance, and the least one.
+_SPAN_EXTRA = np.array([max(p - 2, 0) >> 1 for p in range(40)])
+_SPAN_LEAST = np.array([p + 1 if p < 4 else ((2 + (p & 1)) << ((p - 2) >> 1)) + 1 for p in range(40)])
+
+
+def _symbols(b: _Batch, codes: list, at: np.ndarray, start: np.ndarray, end: np.ndarray, used: Counter):
+    """(pixels written out, (place, length, distance code, image) of references, (place, slot, image) of cache hits).
+
+    A turn reads a symbol of every image; ``at`` moves behind the last. What a reference or a cache hit stands for is nothing
+    that reading needs, so it is found later. An image that has ended stays where it is until it is dropped.
+    """
+    (green, g_rows, g_mask), (red, r_rows, r_mask), (blue, b_rows, b_mask), (alpha, a_rows, a_mask), (far, f_rows, f_mask) = codes
+    clear = (alpha[a_rows].astype(np.int64) >> 4) << 24 if not (alpha & 15).any() else None  # one alpha to an image: no bits
+    words, out = b.words.view(np.int64), np.zeros(int(end.max()) + 1, np.uint32)
+    live, p, spot, turn = np.arange(len(at)), at.copy(), start.copy(), 0
+    copies, hits = [], []
+    while True:
+        on = spot < end
+        if not turn & 15 and not on.all():
+            at[live[~on]] = p[~on]
+            keep = np.flatnonzero(on)
+            live, p, spot, end, on, g_rows, r_rows, b_rows, a_rows, f_rows = (v[keep] for v in (live, p, spot, end, on, g_rows, r_rows, b_rows, a_rows, f_rows))
+            clear = clear if clear is None else clear[keep]
+        if not len(live):
+            break
+        turn += 1
+        w = words.take(p >> 3, mode="clip")
+        w >>= p & 7
+        s = green.take((w & g_mask) + g_rows).astype(np.int64)
+        move = s & 15
+        w >>= move
+        other = np.flatnonzero(s >= 256 << 4)
+        if len(other):
+            w_other, move_other = w[other], move[other]
+        e = red.take((w & r_mask) + r_rows).astype(np.int64)
+        k = e & 15
+        move += k
+        w >>= k
+        px = e >> 4 << 16
+        px |= s >> 4 << 8
+        e = blue.take((w & b_mask) + b_rows).astype(np.int64)
+        k = e & 15
+        move += k
+        px |= e >> 4
+        if clear is None:
+            w >>= k
+            e = alpha.take((w & a_mask) + a_rows).astype(np.int64)
+            move += e & 15
+            px |= e >> 4 << 24
+        else:
+            px |= clear
+        out[spot] = px
+        if len(other):
+            s = s[other] >> 4
+            move[other] = move_other
+            cached = s >= 280
+            j = other[cached & on[other]]
+            if len(j):
+                hits.append((spot[j], s[cached & on[other]] - 280, live[j]))
+            again = np.flatnonzero(~cached & on[other])
+            if len(again):
+                j, w, s = other[again], w_other[again], s[again] - 256
+                extra = _SPAN_EXTRA[s]
+                run = _SPAN_LEAST[s] + (w & (1 << extra) - 1)
+                w >>= extra
+                e = far.take((w & f_mask) + f_rows[j]).astype(np.int64)
+                k = e & 15
+                w >>= k
+                e >>= 4
+                more = _SPAN_EXTRA[e]
+                copies.append((spot[j], run, _SPAN_LEAST[e] + (w & (1 << more) - 1), live[j]))
+                move[j] += extra + k + more
+                spot[j] += run - 1
+                if (spot[j] >= end[j]).any():
+                    raise BadImage("a back-reference past the image")
+        move *= on
+        p += move
+        spot += on
+    used["turns_read"] += turn
+    join = lambda found, n: tuple(np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * n
+    return out, join(copies, 4), join(hits, 3)
 
 
 @lru_cache(64)
@@ -857,4 +957,8 @@ def _decode(streams: list[bytes], used: Counter) -> list[np.ndarray]:
                     each = 8 >> bits
                     index = (index[:, :, None] >> (np.arange(1 << bits, dtype=np.uint32) * np.uint32(each)) & np.uint32((1 << each) - 1)).reshape(int(height[f]), -1)[:, :wide]
                 images[f] = table[index.ravel()]
-    return [np.stack([px >> np.uint32(s) & np.uint32(255) for s in (16, 8, 0, 24)], axis=-1).astype(np.uint8).reshape(h, w, 4) for px, h, w in zip(images, height.tolist(), width.tolist(), strict=True)]
+    low, out = np.uint32(0xFF), []
+    for px, h, w in zip(images, height.tolist(), width.tolist(), strict=True):
+        turned = px & np.uint32(0xFF00FF00) | px >> np.uint32(16) & low | (px & low) << np.uint32(16)  # red lowest
+        out.append(turned.view(np.uint8).reshape(h, w, 4))
+    return out

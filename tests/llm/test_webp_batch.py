@@ -114,3 +114,49 @@ def test_predictions_are_the_plain_readers():
         got = np.array(webp_batch.predicted(mode, packed.__getitem__)).view(np.uint8).reshape(-1, 4)
         want = [webp._predict(mode, *(v[i, ::-1].tolist() for v in near))[::-1] for i in range(500)]
         assert (got == np.array(want)).all(), mode
+
+
+def test_reading_takes_a_turn_per_symbol():
+    """What a reference or a cache hit stands for is found for all of them at once, not pixel by pixel."""
+    rng, read = np.random.default_rng(7), Counter()
+    lines = [rng.integers(0, 256, (24, 3), dtype=np.uint8) for _ in range(3)]
+    images = [np.tile(v, (8 * rows, 1)) for v, rows in zip(lines, (8, 20, 3))]
+    streams = webp_batch.encode_streams(images, 192)
+    for px, s, got in zip(images, streams, webp_batch.decode_streams(streams, read), strict=True):
+        assert (got[:, :, :3].reshape(-1, 3) == px).all() and (webp.decode(file_of(s)) == got).all()
+    assert 0 < read["turns_read"] < 400  # of 3,840 pixels in the longest
+
+
+def test_copies_of_cache_hits_and_hits_on_copies():
+    rng = np.random.default_rng(8)
+    for cache_bits in (1, 3, 11):
+        streams, want = [], []
+        for h, w, colours in ((9, 31, 5), (20, 20, 40), (2, 300, 9), (1, 1, 1)):
+            px = rng.integers(0, 256, (colours, 4), dtype=np.uint8)[rng.integers(0, colours, (h, w))]
+            px[h // 2 :, : w // 2] = px[: h - h // 2, : w // 2]
+            data = webp.encode(px, cache_bits=cache_bits, refs=True)
+            streams.append(data[20 : 20 + int.from_bytes(data[16:20], "little")])
+            want.append(px)
+        read = Counter()
+        for got, px in zip(webp_batch.decode_streams(streams, read), want, strict=True):
+            assert (got == px).all()
+        assert read["cache_hits_read"] > 0 and read["references_read"] > 0
+
+
+def test_a_hit_on_an_empty_slot_is_a_black_clear_pixel():
+    w = webp._head(4, 1, True)
+    for value, n in ((0, 1), (1, 1), (1, 4), (0, 1)):  # no transform, a cache of two, one group
+        w.put(value, n)
+    codes = [webp._write_code(w, [int(s in mine) for s in range(a)]).codes() for a, mine in zip((282, 256, 256, 256, 40), ((7, 281), (1,), (2,), (255,), (0,)))]
+    for s in (281, 7, 281, 281):
+        w.put(*codes[0][s])
+    data = webp._file(w.bits())
+    stream = data[20 : 20 + int.from_bytes(data[16:20], "little")]
+    (other,) = webp_batch.encode_streams(pictures()[:1], 192)
+    got = webp_batch.decode_streams([other, stream])[1]
+    assert (got == webp.decode(data)).all() and (got[0, 0] == 0).all() and (got[0, 1] == (1, 7, 2, 255)).all()
+
+
+def test_lengths_of_counts_of_any_size():
+    counts = np.array([[3, 0, 1 << 40, 2, 1 << 41], [1, 1, 0, 0, 0]])
+    assert webp_batch.code_lengths(counts, 60).tolist() == [[3, 0, 2, 3, 1], [1, 1, 0, 0, 0]]
