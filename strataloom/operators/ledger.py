@@ -66,16 +66,21 @@ def clear(progress: DataFrame, documents: DataFrame) -> DataFrame:
     return progress.join(documents.select("filename", "document_version").distinct(), ["filename", "document_version"], "left_anti")
 
 
-def uploads_pending(uploads: DataFrame, limit: int) -> DataFrame:
-    """The oldest pending uploads of both queues: each queue's oldest, then the oldest of those."""
+def uploads_pending(uploads: DataFrame, limit: int | None = None) -> DataFrame:
+    """The oldest pending uploads of both queues: each queue's oldest, then the oldest of those. Without a limit all, unsorted."""
     ready = uploads.where("status = 'pending'")
+    if limit is None:
+        return ready.where(F.col("doc_type").isin("paper", "meeting"))
     each = [ready.where(F.col("doc_type") == kind).orderBy("uploaded_at", "id").limit(limit) for kind in ("paper", "meeting")]
     return each[0].unionByName(each[1]).orderBy("uploaded_at", "id").limit(limit)
 
 
 def transition(uploads: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame:
-    """Apply outcomes (id, status, error): pending becomes downloaded or failed, and only downloaded becomes built."""
-    new = outcomes.select("id", F.col("status").alias("__to"), F.left(F.col("error"), F.lit(4000)).alias("__error"))
+    """Apply outcomes (id, status, error): pending becomes downloaded or failed, and only downloaded becomes built.
+
+    Outcomes are never broadcast: with their errors they may be a thousand times what their plan's size says.
+    """
+    new = outcomes.select("id", F.col("status").alias("__to"), F.left(F.col("error"), F.lit(4000)).alias("__error")).hint("merge")
     rows = uploads.join(new, "id", "left")
     to = F.col("__to")
     ok = to.isNotNull() & F.when(to == "built", F.col("status") == "downloaded").otherwise(F.col("status") == "pending")

@@ -68,8 +68,12 @@ def write_folders(spark: SparkSession, lines: DataFrame, out: str) -> None:
     store.delete(path(temp), True)
 
 
-def drain(table: SnapshotTable, outcomes: Callable[[DataFrame], DataFrame], now: Column, limit: int = 10_000) -> int:
-    """Handle all pending uploads, oldest first, in batches; returns how many. Running it again handles none."""
+def drain(table: SnapshotTable, outcomes: Callable[[DataFrame], DataFrame], now: Column, limit: int | None = None) -> int:
+    """Handle all pending uploads; returns how many. Running it again handles none.
+
+    They are taken all at once or, with ``limit``, so many at a time, oldest first; each turn rewrites the table. It ends when
+    none is left or a turn moves none.
+    """
     done = 0
     while True:
         uploads = table.read()
@@ -77,10 +81,10 @@ def drain(table: SnapshotTable, outcomes: Callable[[DataFrame], DataFrame], now:
         n = todo.count()
         if not n:
             return done
+        before = ledger.uploads_pending(uploads).count() if limit else n
         table.publish(ledger.transition(uploads, outcomes(todo), now))
-        left = ledger.uploads_pending(table.read(), limit).count()
         done += n
-        if left == n == limit:  # nothing moved
+        if ledger.uploads_pending(table.read()).count() >= before:  # nothing moved
             return done
 
 
