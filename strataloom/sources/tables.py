@@ -42,7 +42,7 @@ class SnapshotTable:
         """The published rows; columns added to the schema since they were written are null."""
         v = self.version() if version is None else version
         if not v:
-            return self.spark.createDataFrame([], self.schema)
+            return self.spark.createDataFrame([], self.schema).where("false")  # known to be empty, so upserts into it need no join
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={v}")
 
     def publish(self, rows: DataFrame, expect: int | None = None) -> int:

@@ -1,8 +1,9 @@
 """Faults that show only on larger tables, on small ones."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from strataloom.operators import ledger, sanitize
+from strataloom.operators import blocking, ledger, sanitize
 from strataloom.plans.ingest_queries import _uploads
 from strataloom.sources.tables import SnapshotTable
 from strataloom.streaming import handoff
@@ -35,3 +36,30 @@ def test_ties_at_the_cap_are_settled(spark):
     for seed in range(3):
         got = sanitize.check_edges(e.orderBy(F.rand(seed)).repartition(5), types)
         assert sorted(r.src for r in got.collect()) == ["t0", "t1", "t2"]
+
+
+def test_nearest_equals_a_full_sort(spark):
+    rnd = np.random.default_rng(5)
+    y = rnd.normal(size=(700, 16)).astype(np.float32)
+    y[100:400] = y[7]  # more copies than k
+    y[400:420] = 2 * y[3]
+    x = np.concatenate([y[:40], y[395:405], rnd.normal(size=(50, 16)).astype(np.float32)])
+    places, scores = blocking._nearest(x, y, 5, rows=32, columns=64)
+    unit = lambda v: v / np.sqrt((v.astype(float) ** 2).sum(axis=1, keepdims=True))
+    s = (1 + unit(x) @ unit(y).T) / 2
+    want = np.argsort(-np.round(s, 12), axis=1, kind="stable")[:, :5]
+    assert (places == want).all() and np.allclose(scores, np.take_along_axis(s, want, 1), atol=1e-12)
+    assert (blocking._nearest(x, y[:3], 5)[0][:, 3:] == -1).all()
+
+
+def test_a_group_of_equal_names_is_parted(spark):
+    d = spark.range(60).select("id", F.lit("s").alias("source"), F.when(F.col("id") < 50, "hot").otherwise(F.col("id").cast("string")).alias("topic"), F.lit("t").alias("type"))
+    got = sorted((r.a, r.b) for r in blocking.exact_pairs(d, None, chunk_rows=8).collect())
+    assert got == [(a, b) for a in range(50) for b in range(a + 1, 50)]
+
+
+def test_merge_shuffles_no_exact_pairs(spark):
+    from strataloom.plans.conflict_queries import _merged
+
+    plan = _merged(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan and "BroadcastHashJoin" in plan
