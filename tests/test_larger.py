@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from strataloom.operators import blocking, ledger, sanitize
+from strataloom.operators import analytics, blocking, ledger, metrics, sanitize
 from strataloom.plans.ingest_queries import _uploads
 from strataloom.sources.tables import SnapshotTable
 from strataloom.streaming import handoff
@@ -11,6 +11,25 @@ from strataloom.streaming import handoff
 SMALL = "/root/testdata/sf0.001"
 
 
+def most_rows(df):
+    """The most rows that any node of the plan of ``df`` puts out, after a run."""
+    df.collect()
+
+    def walk(plan):
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(plan.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(plan.plan())
+        if name == "ReusedExchangeExec":
+            return walk(plan.child())
+        m = plan.metrics().get("numOutputRows")
+        below = [walk(plan.children().apply(i)) for i in range(plan.children().length())]
+        return max([m.get().value() if m.isDefined() else 0, *below])
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
 def test_drain_goes_on_after_full_batches(spark, tmp_path):
     up = _uploads(spark, SMALL).where("id < 30")
     n = up.where("status = 'pending'").count()
@@ -63,3 +82,29 @@ def test_merge_shuffles_no_exact_pairs(spark):
 
     plan = _merged(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "FullOuter" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_gold_rows_of_a_node_do_not_meet_all_its_edges(spark):
+    e = spark.range(200).select(F.lit("Hub").alias("src"), F.concat(F.lit("Leaf"), "id").alias("dst"), F.lit("Uses").alias("relation"))
+    nodes = e.select(F.col("dst").alias("id")).union(spark.sql("select 'Hub' as id"))
+    gold = spark.range(200).select("id", F.col("id").cast("string").alias("gold_id"), F.array(F.concat(F.lit("leaf"), F.col("id") * 2), F.lit("none")).alias("source_any"), F.array(F.lit("hub")).alias("target_any"), F.lit("uses").alias("relation"))
+    out = metrics.relation_recall(gold, e, nodes)
+    assert tuple(out.first()) == (100, 200, 0.5)
+    assert most_rows(out) <= 1000
+    assert tuple(metrics.relation_recall(gold.where("false"), e, nodes).first()) == (0, 0, 1.0)
+
+
+def test_betweenness_does_not_meet_all_edges_into_a_node(spark, monkeypatch):
+    pairs = [(f"r{i}", "m") for i in range(30)] + [("m", f"k{i}") for i in range(3)] + [(f"q{i}", f"k{j}") for i in range(60) for j in range(3)]
+    rows = []
+    keep = analytics.materialize
+
+    def noted(df, name="stage"):
+        if name == "betweenness":
+            rows.append(most_rows(df))
+        return keep(df, name)
+
+    monkeypatch.setattr(analytics, "materialize", noted)
+    got = {r.id: r.betweenness for r in analytics.betweenness(spark.createDataFrame(pairs, "src string, dst string"), normalized=False).collect()}
+    assert got["m"] == 90 and sum(got.values()) == 90
+    assert max(rows) <= len(pairs)
