@@ -108,3 +108,15 @@ def test_betweenness_does_not_meet_all_edges_into_a_node(spark, monkeypatch):
     got = {r.id: r.betweenness for r in analytics.betweenness(spark.createDataFrame(pairs, "src string, dst string"), normalized=False).collect()}
     assert got["m"] == 90 and sum(got.values()) == 90
     assert max(rows) <= len(pairs)
+
+
+def test_turns_of_moves_write_nothing(spark, monkeypatch):
+    rnd, written = np.random.default_rng(3), []
+    pairs = [(f"n{g * 8 + a}", f"n{g * 8 + b}") for g in range(6) for a, b in rnd.integers(0, 8, (30, 2))] + [(f"n{a}", f"n{b}") for a, b in rnd.integers(0, 48, (12, 2))]
+    keep = analytics.materialize
+    monkeypatch.setattr(analytics, "materialize", lambda df, name="stage": (written.append(name), keep(df, name))[1])
+    found = {r.id: r.community for r in analytics.leiden(spark.createDataFrame(pairs, "src string, dst string")).collect()}
+    assert len(written) < 16  # a few a level
+    assert 4 <= len(set(found.values())) <= 8 and all(found[c] == c for c in found.values())
+    h = [tuple(r) for r in spark.range(40).select(F.xxhash64("id"), F.pmod(F.xxhash64("id", F.lit(9)), F.lit(2)) == 0).collect()]
+    assert analytics._halves(np.array([x for x, _ in h]), 9).tolist() == [y for _, y in h]
