@@ -3,6 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from strataloom import models
 from strataloom.operators import analytics, blocking, ledger, metrics, sanitize
 from strataloom.plans.ingest_queries import _uploads
 from strataloom.sources.tables import SnapshotTable
@@ -120,3 +121,21 @@ def test_turns_of_moves_write_nothing(spark, monkeypatch):
     assert 4 <= len(set(found.values())) <= 8 and all(found[c] == c for c in found.values())
     h = [tuple(r) for r in spark.range(40).select(F.xxhash64("id"), F.pmod(F.xxhash64("id", F.lit(9)), F.lit(2)) == 0).collect()]
     assert analytics._halves(np.array([x for x, _ in h]), 9).tolist() == [y for _, y in h]
+
+
+def test_prompts_come_in_batches_of_bounded_bytes(spark):
+    class Echo:
+        def complete(self, prompt):
+            return "ok"
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    models.ask(spark.range(3).select("id", F.lit("p").alias("prompt")), Echo(), "id", "prompt").collect()
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 16 << 20
+
+
+def test_pagerank_reads_edges_as_lists(spark, monkeypatch):
+    wide, keep = [], analytics.materialize
+    monkeypatch.setattr(analytics, "materialize", lambda df, name="stage": (wide.append(df.columns), keep(df, name))[1])
+    ranks = {r.id: r.rank for r in analytics.pagerank(spark.createDataFrame([(1, 2), (2, 3), (3, 1), (1, 3), (1, 3)], "src long, dst long"), iterations=30).collect()}
+    assert abs(sum(ranks.values()) - 1) < 1e-9 and ranks[3] > ranks[1] > ranks[2]
+    assert ["src", "dst"] not in wide and ["src", "to", "deg"] in wide
