@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataloom.session import bound_batches
+
 GRAPH = "nodes array<struct<id:string,type:string,properties:map<string,string>>>, relationships array<struct<source:string,target:string,type:string,properties:map<string,string>>>"
 ATTEMPTS, RATE_WAIT, CONNECTION_WAIT = 5, 65.0, 30.0
 _CONNECTION = ("connection", "refused", "reset", "timed out", "timeout", "unreachable")
@@ -125,8 +127,10 @@ def embed_missing(descriptions: DataFrame, client: Embedder, allowed, with_topic
 def ask(rows: DataFrame, client: Completer, key: str, prompt: str, attempts: int = ATTEMPTS, sleep: Callable[[float], None] = time.sleep, seconds: float | None = None) -> DataFrame:
     """(key, reply, error, attempts) of a prompt per row. Partitions bound how many calls run at once.
 
-    ``seconds`` bounds each call by the clock; a client with complete_raw is asked again that way when a call fails.
+    ``seconds`` bounds each call by the clock; a client with complete_raw is asked again that way when a call fails. Batches
+    are bounded in bytes as well, since prompts may be long.
     """
+    bound_batches(rows.sparkSession)
     kind = rows.schema[key].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

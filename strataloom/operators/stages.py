@@ -9,7 +9,7 @@ from strataloom import models
 from strataloom import ontology as o
 from strataloom.functions import text as tx
 from strataloom.operators import blocking, conflict, gates
-from strataloom.session import materialize
+from strataloom.session import bound_batches, materialize
 from strataloom.sources.tables import SnapshotTable, upsert
 
 CLUSTERS = (
@@ -42,6 +42,7 @@ def run_gates(descriptions: DataFrame, table: SnapshotTable, client: models.Comp
     With ``flush`` the model is asked for about so many pairs at a time and each such part is published, so that a run that
     is broken off loses no more than one part; the rows of stored pairs are changed in place and never deleted.
     """
+    bound_batches(descriptions.sparkSession)  # the texts of a pair meet in Python
     stored = table.read()
     keep = ["pair_key", "description_id_a", "description_id_b", "source_id_a", "source_id_b", "topic_a", "topic_b"]
     ruled = materialize(gates.rule_gates(pair_texts(gates.needs_gate(stored, version).select(*keep), descriptions)), "gates")
