@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from strataloom import models
+from strataloom.functions import similarity
 from strataloom.operators import analytics, blocking, ledger, metrics, sanitize
 from strataloom.plans.ingest_queries import _uploads
 from strataloom.sources.tables import SnapshotTable
@@ -139,3 +140,44 @@ def test_pagerank_reads_edges_as_lists(spark, monkeypatch):
     ranks = {r.id: r.rank for r in analytics.pagerank(spark.createDataFrame([(1, 2), (2, 3), (3, 1), (1, 3), (1, 3)], "src long, dst long"), iterations=30).collect()}
     assert abs(sum(ranks.values()) - 1) < 1e-9 and ranks[3] > ranks[1] > ranks[2]
     assert ["src", "dst"] not in wide and ["src", "to", "deg"] in wide
+
+
+def test_ratio_above_agrees_with_difflib():
+    import difflib
+    import random
+
+    rnd = random.Random(7)
+    seen = set()
+    for n in (0, 3, 40, 300, 900):
+        for edits in (0, 1, n // 40, n // 8, n):
+            a = "".join(rnd.choice("aabbcdefghij klmnopqrstuvwxyzQZ") for _ in range(n))
+            b = list(a)
+            for _ in range(edits):
+                at = rnd.randrange(len(b) + 1)
+                b[at : at + rnd.randrange(3)] = rnd.choice("xyzQ") * rnd.randrange(3)
+            b = "".join(b)
+            ratio = difflib.SequenceMatcher(None, a, b).ratio()
+            for least in (0.5, 0.9, 0.95, ratio, 1.0):
+                assert similarity.ratio_above(a, b, least) == (ratio > least)
+                seen.add((least, ratio > least))
+    assert len(seen) > 12
+
+
+def test_ratio_ends_once_it_is_settled(monkeypatch):
+    import difflib
+
+    calls = []
+    find = difflib.SequenceMatcher.find_longest_match
+    monkeypatch.setattr(difflib.SequenceMatcher, "find_longest_match", lambda *x: (calls.append(1), find(*x))[1])
+    words = [f"w{i * 7919 % 1000}" for i in range(400)]
+    assert not similarity.ratio_above(" ".join(words), " ".join(words[200:] + words[:200]), 0.95)
+    assert not similarity.ratio_above("x" * 300, "y" * 300, 0.95)
+    assert len(calls) <= 2
+
+
+def test_steps_of_the_sanitizer_with_nothing_to_do_give_what_they_got(spark):
+    n = spark.createDataFrame([("d", 0, 0, "a part", "Topic", {})], sanitize.NODES)
+    e = spark.createDataFrame([("d", 0, 0, "a part", "b", "has_x", {})], sanitize.EDGES)
+    none = sanitize.topic_aliases(n, 1.1)
+    assert none.isEmpty() and "FlatMapGroupsInPandas" not in none._jdf.queryExecution().executedPlan().toString()
+    assert sanitize.redirect(n, e, none) == (n, e) and sanitize.drop_blank(n, e) == (n, e)
